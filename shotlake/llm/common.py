@@ -68,6 +68,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def fenced(df: DataFrame, condition: str) -> DataFrame:
+    """``df`` filtered, without the optimizer copying the definitions of its columns into the filter.
+
+    Computed columns with long definitions would otherwise be computed twice or, in
+    lambdas, once per element; a filter is not moved below a numbering of rows.
+    """
+    return df.withColumn("_fence", F.monotonically_increasing_id()).filter(F.expr(condition) & (F.col("_fence") >= 0)).drop("_fence")
+
+
 def fits(rows: int, width: int, bound: int = BROADCAST_BYTES) -> bool:
     """Whether ``rows`` measured rows of ``width`` bytes may be broadcast."""
     return rows * width <= bound

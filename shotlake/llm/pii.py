@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, materialize, small, text_or_empty
+from .common import fenced, lookup, materialize, small, text_or_empty
 
 #: The kinds in their order, with their patterns.  Possessive
 #: quantifiers match what the plain ones would, without recursion.
@@ -76,7 +76,7 @@ def detected(df: DataFrame, text: str, kinds: dict[str, str]) -> DataFrame:
     for kind, pattern in kinds.items():
         df = df.withColumn("_found", F.when(F.col(text).contains(HINTS[kind]), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")) if kind in HINTS else F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
         df = df.withColumn("_spans", F.when(F.size("_found") > 0, _places(F.col(text), F.col("_found"), F.split(text, pattern, -1))).otherwise(none))
-        df = df.withColumn(f"_{kind}", F.filter("_spans", lambda s, k=kind: _holds(k, s["value"])))
+        df = df.withColumn(f"_{kind}", F.filter("_spans", lambda s: _holds(kind, s["value"])))
     return df.drop("_found", "_spans")
 
 
@@ -92,7 +92,7 @@ def disclosing_terms(texts: DataFrame, base: DataFrame) -> DataFrame:
     ``texts`` has rid and text; ``base`` rid and the spans of the base kinds for
     those documents that have any.
     """
-    entities = F.concat(*[F.transform(f"_{k}", lambda s, k=k: F.concat(F.lit(k + ":"), s["value"])) for k in BASE])
+    entities = F.concat(*[F.transform(f"_{k}", lambda s: F.concat(F.lit(k + ":"), s["value"])) for k in BASE])
     holders = materialize(base.select("rid", F.explode(F.array_distinct(entities)).alias("entity")), "holders")
     frequent = holders.groupBy("entity").agg(F.count("*").alias("docs")).filter(F.col("docs") >= SUPPORT)
     frequent = materialize(frequent, "entities")
@@ -118,13 +118,13 @@ def disclosing_terms(texts: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def _joined(kinds: tuple[str, ...]) -> Column:
-    parts = [F.transform(f"_{k}", lambda s, k=k: F.concat(F.lit(k + ":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))) for k in kinds]
+    parts = [F.transform(f"_{k}", lambda s: F.concat(F.lit(k + ":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))) for k in kinds]
     return F.array_join(F.concat(*parts), ",")
 
 
 def _generalised(text: Column) -> Column:
     """The text with each span replaced by its kind in brackets (of overlapping spans the first counts)."""
-    every = [F.transform(f"_{k}", lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{k.upper()}]").alias("mark"))) for k in KINDS]
+    every = [F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{k.upper()}]").alias("mark"))) for k in KINDS]
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
@@ -146,10 +146,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     found = detected(keyed, "_text", PATTERNS | {"secret": SECRET})
 
     texts = keyed.select("_id", "_xx", F.col("_text").alias("text")).withColumn("rid", F.xxhash64("_id", "_xx"))
-    any_base = F.lit(False)
-    for k in BASE:
-        any_base = any_base | (F.size(f"_{k}") > 0)
-    base = found.filter(any_base).select(F.xxhash64("_id", "_xx").alias("rid"), *[f"_{k}" for k in BASE]).dropDuplicates(["rid"])
+    base = fenced(found, " or ".join(f"size(_{k}) > 0" for k in BASE)).select(F.xxhash64("_id", "_xx").alias("rid"), *[f"_{k}" for k in BASE]).dropDuplicates(["rid"])
     terms = disclosing_terms(texts, materialize(base, "base-spans"))
     number = terms.count()
     none = F.array().cast(SPAN)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import fenced, text_or_empty
 
 #: ASCII white space, which separates words.
 BLANKS = " \t\n\u000b\u000c\r"
@@ -116,6 +116,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return base.select(*[F.col(c) for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents that are kept, with the columns of ``quality_rules``."""
+    return fenced(quality_rules(docs), "kept")
+
+
 #: DuckDB SQL of the same rows, for a table ``documents``.
 SQL = r"""
 with t as (select doc_id, coalesce("text", '') as x from documents),
