@@ -18,7 +18,7 @@ def _with_text(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail a rule go, then documents that fail a base rule or lose too much."""
-    return _with_text(quality_rules.quality_rules(docs).filter("kept"), docs, "cleaned_text")
+    return _with_text(quality_rules.accepted(docs), docs, "cleaned_text")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
