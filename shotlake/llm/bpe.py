@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, text_or_empty
 
-#: Entries of a worker's memory of encoded pieces; it is emptied when full.
-MEMORY = 200_000
+#: Units that a worker keeps in each of its two generations of encoded ones.
+MEMORY = 250_000
+_STOPS = ".,"
 #: White space followed by a space and more white space, or by a space at the end:
 #: the only places where cutting before every space would change the pieces.
 _INNER_SPACE = re.compile(r"\s \s|\s \Z")
@@ -158,20 +159,33 @@ class Encoder:
     def __init__(self, path: str, pattern: str) -> None:
         self.vocabulary, self.find = vocabulary(path), regex.compile(pattern).findall
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.stops = {c: self._pieces(c) for c in _STOPS}
+
+    def _pieces(self, unit: str) -> bytes:
+        ids = [t for piece in self.find(unit) for t in self.vocabulary.encode_piece(piece.encode())]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _unit(self, unit: str) -> bytes:
         found = self.memory.get(unit)
+        if found is not None:
+            return found
+        found = self.older.get(unit)
         if found is None:
-            ids = [t for piece in self.find(unit) for t in self.vocabulary.encode_piece(piece.encode())]
-            found = struct.pack(f"<{len(ids)}I", *ids)
-            if len(unit) <= 64:
-                if len(self.memory) >= MEMORY:
-                    self.memory.clear()
-                self.memory[unit] = found
+            if len(unit) > 64:
+                return self._pieces(unit)
+            stop = self.stops.get(unit[-1:])
+            if stop is not None and unit[-2:-1].isalpha():  # a stop after a letter is a piece of its own
+                found = self._unit(unit[:-1]) + stop
+            else:
+                found = self._pieces(unit)
+        if len(self.memory) >= MEMORY:
+            self.memory, self.older = {}, self.memory
+        self.memory[unit] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        get, unit = self.memory.get, self._unit
+        get, unit = self.memory.get, self._unit  # after a change of generation, ``get`` still finds what it did
         return b"".join([get(x) or unit(x) for x in units(text)])
 
     def decode(self, ids: bytes) -> bytes:
