@@ -9,6 +9,8 @@ that an earlier one equals are removed.  A document that loses more than
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,69 +35,72 @@ BOILERPLATE = (
 )
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _solid(text: Column) -> Column:
+    """The text without white space."""
+    for blank in BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(""))
+    return text
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
+    for blank in BLANKS[1:]:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
-def _window_keys(words: Column, n: Column) -> tuple[Column, Column]:
-    """Keys of the 3-word windows, and the bits that hold their places.
+def _signs(text: Column, signs: str) -> Column:
+    """How many of the characters ``signs`` the text has."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{signs}]", ""))
 
-    A window's hash and, in the low bits, its place make one number; in their
-    sorted order equal windows are neighbours.
-    """
-    bits = F.ceil(F.log2(n + F.lit(1))).cast("int")
-    keys = F.transform(
-        F.sequence(F.lit(0), n - 3),
-        lambda i: F.call_function("shiftleft", F.call_function("shiftright", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits), bits).bitwiseOR(i.cast("bigint")),
-    )
-    return keys, bits
 
+def _with_repeated_words(base: DataFrame) -> DataFrame:
+    """Add _n_repeat_words: words in 3-word windows that stand twice or more.
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the base figures, prefixed by an underscore, and the lines to keep."""
-    text = text_or_empty()
-    base = docs.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
-    base = base.withColumn("_n_words", F.size("_words").cast("bigint"))
+    Where not all windows' hashes differ, a hash and, in the low bits, its place
+    make one number; in their sorted order equal windows are neighbours.
+    """
     n = F.size("_words")
-    keys, bits = _window_keys(F.col("_words"), n)
-    base = base.withColumn("_keys", F.when(n >= 4, F.sort_array(keys)))
-    base = base.withColumn("_bits", bits)
-    high = lambda i: F.call_function("shiftright", F.get("_keys", i), F.col("_bits"))
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bits")) - 1
-    twice = F.filter(F.col("_keys"), lambda x, i: (high(i) == F.coalesce(high(i - 1), high(i) + 1)) | (high(i) == F.coalesce(high(i + 1), high(i) + 1)))
+    window = lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2))
+    base = base.withColumn("_hashes", F.when(n >= 4, F.transform(F.sequence(F.lit(0), n - 3), window)))
+    base = base.withColumn("_bits", F.ceil(F.log2(n + F.lit(1))).cast("int"))
+    bits = F.col("_bits")
+    right, left = (lambda x: F.call_function("shiftright", x, bits)), (lambda x: F.call_function("shiftleft", x, bits))
+    key = lambda x, i: left(right(x)).bitwiseOR(i.cast("bigint"))
+    base = base.withColumn("_keys", F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), F.sort_array(F.transform("_hashes", key))))
+    same = F.zip_with("_keys", F.slice("_keys", F.lit(2), F.size("_keys")), lambda a, b: right(a.bitwiseXOR(b)) == 0)
+    base = base.withColumn("_same", same)
+    mask = left(F.lit(1).cast("bigint")) - 1
+    no = F.lit(False)
+    twice = F.filter("_keys", lambda x, i: F.coalesce(F.get("_same", i), no) | F.coalesce(F.get("_same", i - 1), no))
     base = base.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask))))
-    covered = F.aggregate(
-        F.transform(F.col("_starts"), lambda x, i: F.least(F.lit(3).cast("bigint"), F.coalesce(F.get("_starts", i + 1) - x, F.lit(3).cast("bigint")))), F.lit(0).cast("bigint"), lambda a, b: a + b
-    )
-    base = base.withColumn("_n_repeat_words", F.coalesce(covered, F.lit(0).cast("bigint")))
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(_without(x, BLANKS)) > 0)
-    base = base.withColumn("_lines", lines)
-    base = base.withColumn("_n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"))
-    base = base.withColumn("_word_chars", F.length(_without(F.col("_text"), BLANKS)).cast("bigint"))
-    base = base.withColumn("_n_symbols", (F.length("_text") - F.length(_without(F.col("_text"), SIGNS))).cast("bigint"))
-    return base.withColumn("_kept_lines", F.filter(F.array_distinct("_lines"), passes))
-
-
-def passes(line: Column) -> Column:
+    three = F.lit(3).cast("bigint")
+    widths = F.transform("_starts", lambda x, i: F.least(three, F.coalesce(F.get("_starts", i + 1) - x, three)))
+    covered = F.aggregate(widths, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return base.withColumn("_n_repeat_words", F.coalesce(covered, F.lit(0).cast("bigint")))
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """``docs`` with the base figures, prefixed by an underscore, and the lines with their figures."""
+    base = docs.withColumn("_text", text_or_empty()).withColumn("_words", words_of(F.col("_text")))
+    base = _with_repeated_words(base.withColumn("_n_words", F.size("_words").cast("bigint")))
+    base = base.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    base = base.withColumn("_different", F.array_distinct("_lines"))
+    base = base.withColumn("_n_dup_lines", (F.size("_lines") - F.size("_different")).cast("bigint"))
+    base = base.withColumn("_word_chars", F.length(_solid(F.col("_text"))).cast("bigint"))
+    base = base.withColumn("_n_symbols", _signs(F.col("_text"), SIGNS).cast("bigint"))
+    judged = F.transform("_different", lambda x: F.struct(x.alias("line"), F.length(_solid(x)).cast("bigint").alias("size"), _signs(x, "|").alias("bars"), _signs(x, SIGNS + "!").alias("signs")))
+    base = base.withColumn("_judged", judged)
+    return base.withColumn("_kept_lines", F.filter("_judged", passes))
+
+
+def passes(x: Column) -> Column:
     """Whether a line is kept, judged by itself."""
-    solid = _without(line, BLANKS)
-    size = F.length(solid)
-    bars = F.length(solid) - F.length(_without(solid, "|"))
-    signs = F.length(solid) - F.length(_without(solid, SIGNS + "!"))
-    ends = F.rtrim(line).rlike("[.!?:;\"'»”)]$")
+    line, size, bars = x["line"], x["size"], x["bars"]
     navigation = (bars >= 3) | ((bars >= 1) & (size < 80))
-    lower = F.lower(line)
-    phrase = F.lit(False)
-    for words in BOILERPLATE:
-        phrase = phrase | lower.contains(words)
-    boilerplate = phrase & (size < 200)
-    noisy = signs * 20 > size
-    shouting = (size >= 20) & (F.upper(line) == line) & (F.lower(line) != line)
-    bare = ~ends & (size < 20)
+    boilerplate = (size < 200) & F.lower(line).rlike("|".join(re.escape(p) for p in BOILERPLATE))
+    noisy = x["signs"] * 20 > size
+    shouting = (size >= 20) & ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}")
+    bare = (size < 20) & ~F.rtrim(line).rlike("[.!?:;\"'»”)]$")
     return ~(navigation | boilerplate | noisy | shouting | bare)
 
 
@@ -106,13 +111,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     with one of these names are replaced.
     """
     base = measured(docs)
-    left = F.aggregate(F.transform("_kept_lines", lambda x: F.length(_without(x, BLANKS)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
     # a repeated line counts once on either side: what is lost is measured against the different lines
-    different = F.aggregate(F.transform(F.array_distinct("_lines"), lambda x: F.length(_without(x, BLANKS)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    left, different = (F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x["size"]) for c in ("_kept_lines", "_judged"))
+    base = base.withColumn("_left", left).withColumn("_all", different)
     failed = (F.col("_n_words") < LEAST_WORDS) | (F.col("_n_repeat_words") * 100 > F.col("_n_words") * MOST_REPEATED)
-    base = base.withColumn("_lost", F.when(different > 0, 1 - left / different).otherwise(F.lit(0.0)))
+    base = base.withColumn("_lost", F.when(F.col("_all") > 0, 1 - F.col("_left") / F.col("_all")).otherwise(F.lit(0.0)))
     out = {k: F.col(f"_{k}") for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost")}
-    out |= {"base_failed": failed, "kept": ~failed & (F.col("_lost") <= MOST_LOST), "cleaned_text": F.concat_ws("\n", "_kept_lines")}
+    out |= {"base_failed": failed, "kept": ~failed & (F.col("_lost") <= MOST_LOST), "cleaned_text": F.concat_ws("\n", F.transform("_kept_lines", lambda x: x["line"]))}
     return base.select(*[F.col(c) for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
@@ -134,9 +139,9 @@ l as (select doc_id, x, words, lines, list_distinct(lines) as different from w),
 v as (select *, list_transform(different, lambda y: translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) as solid from l),
 m as (select *, list_filter(different, lambda y: not (
   (length(y) - length(translate(y, '|', '')) >= 3 or (length(y) - length(translate(y, '|', '')) >= 1 and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 80))
-  or (({phrases}) and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 200)
+  or (regexp_matches(lower(y), '{phrases}') and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 200)
   or (length(y) - length(translate(y, '#*$%&|<>!', ''))) * 20 > length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))
-  or (length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) >= 20 and upper(y) = y and lower(y) <> y)
+  or (length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) >= 20 and not regexp_matches(y, '\p{Ll}') and regexp_matches(y, '\p{Lu}'))
   or (not regexp_matches(rtrim(y, ' '), '[.!?:;"''»”)]$') and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 20))) as good from v),
 q as (select m.doc_id, len(words)::bigint as n_words, length(translate(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::bigint as word_chars,
   (length(x) - length(translate(x, '#*$%&|<>', '')))::bigint as n_symbols, (len(lines) - len(different))::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words,
@@ -145,4 +150,4 @@ q as (select m.doc_id, len(words)::bigint as n_words, length(translate(x, chr(32
   from m left join c on c.doc_id = m.doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
   not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and (all_of = 0 or 1 - left_over / all_of <= 0.5) as kept from q
-""".replace("{phrases}", " or ".join(f"contains(lower(y), '{p}')" for p in BOILERPLATE))
+""".replace("{phrases}", "|".join(re.escape(p) for p in BOILERPLATE))
