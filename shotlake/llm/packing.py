@@ -8,9 +8,10 @@ left.  Bins carry their members, at most ``capacity`` of them.
 
 from __future__ import annotations
 
+import array
 import bisect
 import functools
-import os
+import json
 import zlib
 
 import numpy as np
@@ -19,8 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import units
-from .common import materialize, text_or_empty
+from .common import bounded_batches, materialize, release, text_or_empty
 
 CAPACITY = 1024
 END = 2
@@ -29,7 +29,6 @@ NEARLY = 8
 FAN = 16
 #: Underfull bins that a group sends on at most; the fullest of the others are final.
 SENT = 50_000
-MEMORY = 150_000
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>"
 BIN = f"node bigint, final boolean, sequence_id bigint, size int, members array<{MEMBER}>"
 
@@ -59,33 +58,35 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def _raw_bytes() -> dict[str, int]:
+    """The characters that stand for bytes in the vocabulary file: printable ones for themselves, then from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 @functools.cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tool = Tokenizer.from_file(path)
-    tool.encode_special_tokens = True
-    return tool, {}
-
-
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids, little-endian with four bytes a token; parts seen before come from a bounded memory."""
-    tool, memory = _tokenizer(path)
-    out = []
-    for begin in range(0, len(texts), 256):
-        split = [units(t) for t in texts[begin : begin + 256]]
-        if len(memory) >= MEMORY:
-            memory.clear()
-        new = list({u for parts in split for u in parts}.difference(memory))
-        for u, e in zip(new, tool.encode_batch(new, add_special_tokens=False)):
-            memory[u] = np.array(e.ids, "<u4").tobytes()
-        get = memory.__getitem__
-        out += [b"".join(map(get, parts)) for parts in split]
-        for u in new:
-            if len(u) > 64:
-                del memory[u]
-    return out
+def _tokenizer(path: str, pattern: str):
+    """An encoder with the vocabulary of the file, which gives the same ids several times as fast.
+
+    Only a byte-level BPE file without a normaliser is taken; its added tokens are ordinary text.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    level = spec["pre_tokenizer"] or {}
+    if spec["normalizer"] or spec["model"]["type"] != "BPE" or level.get("type") != "ByteLevel" or level.get("add_prefix_space") or not level.get("use_regex", True):
+        raise ValueError(f"{path} is no plain byte-level BPE vocabulary")
+    added, raw = {x["content"] for x in spec["added_tokens"]}, _raw_bytes()
+    ranks = {bytes(raw[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in added}
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_bytes(texts: list[str], path: str, pattern: str) -> list[bytes]:
+    """Each text's ids, little-endian with four bytes a token."""
+    encode = _tokenizer(path, pattern).encode_ordinary
+    return [array.array("I", encode(t)).tobytes() if t else b"" for t in texts]
 
 
 def pieces(ids: bytes, capacity: int) -> list[tuple[int, int, int]]:
@@ -113,7 +114,7 @@ def _split(bins: list[tuple[int, list[dict]]], capacity: int, last: bool, level:
     return [(node, i not in sent, _number(level, node, i), size, members) for i, (size, members) in enumerate(bins)]
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ids
     (little-endian, four bytes a token).
 
@@ -123,6 +124,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
+    bounded_batches(spark)
     schema = to_arrow_schema(spark.createDataFrame([], BIN).schema)
     tail = np.array([end], "<u4").tobytes()
 
@@ -130,7 +132,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
         node, full, items = TaskContext.get().partitionId(), 0, []
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), token_bytes([t or "" for t in batch.column("text").to_pylist()], path)):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), token_bytes([t or "" for t in batch.column("text").to_pylist()], path, pattern)):
                 ids += tail
                 for piece, start, length in pieces(ids, capacity):
                     part = ids[4 * start : 4 * (start + length)]
@@ -144,6 +146,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
             yield from _emit(rows, schema)
         bins = [(sum(items[i]["length"] for i in b), [items[i] for i in b]) for b in best_fit([m["length"] for m in items], capacity)]
         yield from _emit(_split(bins, capacity, False, 2, node), schema)
+        release()
 
     def merge(level: int, last: bool):
         def of(table: pa.Table) -> pa.Table:

@@ -16,6 +16,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -39,13 +45,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return bpe.encode(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+    return bpe.encode(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"), pattern(), with_ids=False)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), pattern(), with_ids=False)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
