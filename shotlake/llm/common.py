@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -20,6 +22,9 @@ HOT_SHARE = 0.001
 #: Rows below which no key is hot.
 HOT_LEAST = 64
 
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 2000
+
 _left_over: list[tuple[SparkSession, str]] = []
 
 
@@ -109,6 +114,7 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None],
     """``mapInArrow`` with a function from a batch to columns (lists or arrays) by name."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    bounded_batches(df.sparkSession)
     out = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +123,25 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None],
                 columns = function(batch)
                 if columns is not None:
                     yield pa.RecordBatch.from_arrays([_array(columns[f.name], f.type) for f in out], schema=out)
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch, so that texts of some 10 kB fill some 20 MB."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give freed memory back at the end of a task, as a worker goes on to other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not on every platform
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array):
         return values if values.type == kind else values.cast(kind)

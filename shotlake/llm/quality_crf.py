@@ -19,7 +19,7 @@ from .windows import chunks
 
 THRESHOLD = 0.3
 STEPS = 120
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "sign": b"#*$%&<>^~=_\\", "bar": b"|", "cry": b"!", "digit": b"0123456789", "blank": b" \t\r\v\f", "stop": b".,;:?", "letter": bytes(range(97, 123)) + bytes(range(128, 256))}
 _MEMBER = np.zeros((len(_CLASSES), 256), np.uint8)
 for _i, _c in enumerate(_CLASSES.values()):

@@ -20,7 +20,7 @@ from .common import arrow_map, materialize, small, text_or_empty, utf8
 from .windows import BYTE_CODES, chunks, merged, runs, word_codes, words_of
 
 #: Bytes of text that are worked on at once (a longer text stands alone).
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 RUNS = "array<struct<g:bigint,c:bigint,s:int,m:int>>"
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
