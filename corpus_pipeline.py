@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shotlake.llm import exact_dedup, minhash, packing, pii, quality_rules
 from shotlake.llm.common import materialize
-from shotlake.llm.queries import documents, tokenizer_file
+from shotlake.llm.queries import documents, pattern, tokenizer_file
 
 
 def _with_text(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -38,7 +38,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of at most 1024."""
-    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), pattern())
 
 
 STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("near_dedup", near), ("pii", privacy), ("packing", pack)]
