@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, text_or_empty
 
 #: Units that a worker keeps in each of its two generations of encoded ones.
-MEMORY = 250_000
+MEMORY = 500_000
 _STOPS = ".,"
 #: White space followed by a space and more white space, or by a space at the end:
 #: the only places where cutting before every space would change the pieces.
