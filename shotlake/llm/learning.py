@@ -20,13 +20,11 @@ def held_out() -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, most: int = SAMPLE) -> list[tuple[str, int]]:
     """A bounded sample of (text, label) that leaves held-out rows alone, in a fixed order."""
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out()).select("doc_id", F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
-    rows = docs.filter(~held_out()).select("doc_id", text_or_empty().alias("text")).filter(F.length("text") <= SAMPLE_CHARS).join(known, "doc_id")
-    out = []
-    for value in (0, 1):
-        got = rows.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most).select("text", "label").collect()
-        out += [(r["text"], r["label"]) for r in got]
-    return out
+    known = labels.filter(F.col(label).isin(0, 1) & ~held_out()).select("doc_id", F.col(label).cast("int").alias("label"))
+    picked = [known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1)]
+    few = F.broadcast(picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"]))  # at most twice ``most`` rows
+    rows = docs.select("doc_id", text_or_empty().alias("text")).filter(F.length("text") <= SAMPLE_CHARS).join(few, "doc_id")
+    return sorted((r["text"], r["label"]) for r in rows.select("text", "label").collect())
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 50) -> np.ndarray:
