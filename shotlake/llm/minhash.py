@@ -5,8 +5,8 @@ shingle stands, the second, shifted by one more place for each coordinate, gives
 the value to be minimised; so the coordinates of a shingle are neighbours in one
 table.  Bands of 5 values find candidates (a pair at the threshold is missed with
 a probability under 1e-6).  Equal shingle sets are one class from the start, and
-only classes are compared: in each bucket first with the bucket's least member,
-and then, where that has not made one component, each with those of the others,
+only classes are compared: in each bucket first with the member that shares most
+buckets with others, and then, where that has not made one component, each with those of the others,
 in blocks.  Every link is confirmed on the full sets.
 """
 
@@ -31,8 +31,10 @@ PLACES = 1 << 20
 BANDS = 24
 ROWS = 5
 SEED = 20_24
-#: Share of equal coordinates under which a candidate is not verified: six standard deviations under the threshold.
-LEAST_EQUAL = 0.65
+#: Coordinates of which a byte is kept to estimate a similarity, and the share of equal ones under
+#: which a candidate is not verified: over four standard deviations under the threshold.
+SKETCH = 480
+LEAST_EQUAL = 0.78
 BLOCK = 1024
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -44,11 +46,11 @@ def _tables(seed: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.lib.stride_tricks.sliding_window_view(np.concatenate([second, second[:k]]), k)
 
 
-def signature(shingles: np.ndarray, k: int = BANDS * ROWS, seed: int = SEED) -> np.ndarray:
+def signature(shingles: np.ndarray, k: int = SKETCH, seed: int = SEED) -> np.ndarray:
     """The ``k`` coordinates of a set of 64-bit hashes."""
     first, shifted = _tables(seed, k)
     place = first[(shingles >> np.uint64(44)).astype(np.int64)]
-    parts = [shifted[place[i : i + 2048]].min(axis=0) for i in range(0, len(place), 2048)]
+    parts = [shifted[place[i : i + 1024]].min(axis=0) for i in range(0, len(place), 1024)]
     return parts[0] if len(parts) == 1 else np.min(parts, axis=0)
 
 
@@ -82,7 +84,7 @@ def _features(size: int):
                 continue
             values = signature(s)
             key = salts.copy()
-            for column in values.reshape(BANDS, ROWS).T.astype(np.uint64):
+            for column in values[: BANDS * ROWS].reshape(BANDS, ROWS).T.astype(np.uint64):
                 key = mix(key ^ (column + np.uint64(1)))
             out["bands"].append(key.view(np.int64))
             out["sig"].append(values.astype(np.uint8).tobytes())
@@ -142,7 +144,7 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
 def _across(percent: int):
     """Likely pairs of different components among the members of a bucket (or of two blocks of one)."""
 
-    def pairs(n, rid, comp, part, sig, i, j):
+    def pairs(band, n, rid, comp, part, sig, bands, i, j):
         for a in range(0, len(rid), 256):
             rows = slice(a, min(a + 256, len(rid)))
             ok = (comp[rows, None] != comp[None]) & (rid[rows, None] > rid[None])
@@ -150,22 +152,24 @@ def _across(percent: int):
                 ok &= part[rows, None] != part[None]
             ok &= np.minimum(n[rows, None], n[None]) * 100 >= np.maximum(n[rows, None], n[None]) * percent
             x, y = np.nonzero(ok)
-            for b in range(0, len(x), 1 << 16):
-                p, q = x[b : b + (1 << 16)] + a, y[b : b + (1 << 16)]
+            for b in range(0, len(x), 1 << 14):
+                p, q = x[b : b + (1 << 14)] + a, y[b : b + (1 << 14)]
+                first = (bands[p] == bands[q]).argmax(axis=1) == band  # a pair counts in the first band it shares
+                p, q = p[first], q[first]
                 good = (sig[p] == sig[q]).mean(axis=1) >= LEAST_EQUAL
                 yield rid[p[good]], rid[q[good]]
 
     def run(batches):
         kept = None
-        names = ("key", "i", "j", "n", "rid", "comp", "part")
+        names = ("key", "i", "j", "band", "n", "rid", "comp", "part")
 
-        def solve(cols, sig):
+        def solve(cols, sig, bands):
             key = np.stack(cols[:3])
             cuts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
             found = [np.zeros((2, 0), np.int64)]
             for a, b in zip(cuts, [*cuts[1:], key.shape[1]]):
                 if b - a > 1:
-                    found += [np.stack(x) for x in pairs(*(c[a:b] for c in cols[3:7]), sig[a:b], cols[1][a], cols[2][a])]
+                    found += [np.stack(x) for x in pairs(cols[3][a], *(c[a:b] for c in cols[4:8]), sig[a:b], bands[a:b], cols[1][a], cols[2][a])]
             a, b = np.concatenate(found, axis=1)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -174,14 +178,16 @@ def _across(percent: int):
                 continue
             now = [np.asarray(batch.column(k)) for k in names]
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            bands = np.asarray(batch.column("bands").flatten()).reshape(batch.num_rows, -1)
             if kept is not None:
-                now, sig = [np.concatenate([x, y]) for x, y in zip(kept[0], now)], np.concatenate([kept[1], sig])
+                now = [np.concatenate([x, y]) for x, y in zip(kept[0], now)]
+                sig, bands = np.concatenate([kept[1], sig]), np.concatenate([kept[2], bands])
             end = len(now[0]) - 1
             differs = np.flatnonzero((now[0][:-1] != now[0][end]) | (now[1][:-1] != now[1][end]) | (now[2][:-1] != now[2][end]))
             cut = int(differs[-1]) + 1 if len(differs) else 0
             if cut:
-                yield solve([x[:cut] for x in now], sig[:cut])
-            kept = [x[cut:] for x in now], sig[cut:]
+                yield solve([x[:cut] for x in now], sig[:cut], bands[:cut])
+            kept = [x[cut:] for x in now], sig[cut:], bands[cut:]
         if kept is not None:
             yield solve(*kept)
 
@@ -204,23 +210,25 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     classes = materialize(classes.select("c1", "c2", "size", F.col("r.rid").alias("rep"), F.col("r.doc").alias("doc")), "classes")
     reps = materialize(found.join(classes.select(F.col("rep").alias("rid"), "doc"), "rid"), "representatives")
 
-    rows = reps.select("rid", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("m"), F.min("rid").alias("leader")).filter("m > 1")
-    buckets = materialize(buckets, "buckets")
+    rows = reps.select("rid", F.posexplode("bands").alias("band", "key"))
+    buckets = materialize(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "buckets")
     members = materialize(lookup(rows, buckets, ["key"], "m"), "members")
+    popular = members.join(members.groupBy("rid").agg(F.sum("m").alias("popular")), "rid")
+    leaders = materialize(popular.groupBy("key").agg(F.max_by("rid", "popular").alias("leader"), F.first("m").alias("m")), "bucket-leaders")
+    members = materialize(lookup(members.drop("m"), leaders, ["key"], "m"), "led")
     first = members.filter("rid <> leader").select(F.col("rid").alias("a"), F.col("leader").alias("b")).distinct()
     links = materialize(_verified(docs, reps, materialize(first, "to-leaders"), size, percent), "links-1")
 
     joined = materialize(components(links), "components-1")
     placed = members.filter("m > 2").join(joined.withColumnRenamed("node", "rid"), "rid", "left")
-    placed = materialize(placed.select("key", "rid", F.coalesce("component", "rid").alias("comp")), "placed")
+    placed = materialize(placed.select("key", "band", "rid", F.coalesce("component", "rid").alias("comp")), "placed")
     open_ = placed.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
     open_ = materialize(open_.select("key", "m"), "open")
     blocks = F.expr(f"cast((m + {BLOCK - 1}) div {BLOCK} as int)")
     rest = lookup(placed, open_, ["key"], "m").withColumn("blocks", blocks).withColumn("part", F.expr("cast(pmod(xxhash64(rid), blocks) as int)"))
-    rest = rest.join(reps.select("rid", "n", "sig"), "rid")
+    rest = rest.join(reps.select("rid", "n", "sig", "bands"), "rid")
     rest = rest.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).select("key", "i", "j", "n", "rid", "comp", "part", "sig")
+    rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).select("key", "i", "j", "band", "n", "rid", "comp", "part", "sig", "bands")
     across = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across(percent), "a bigint, b bigint")
     second = materialize(across.distinct(), "across")
     links = links.unionByName(_verified(docs, reps, second, size, percent))
