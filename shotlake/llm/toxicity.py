@@ -22,11 +22,12 @@ from .learning import held_out, logistic, sample, sigmoid
 from .windows import chunks
 
 THRESHOLD = 0.5
-#: Terms that the lexicon holds at most; the strongest stay.
-TERMS = 64
-#: How many times as common in toxic documents, and in which share of them, a term has to be.
+#: Terms that the lexicon holds at most; the most frequent stay.
+TERMS = 128
+#: How many times as common in toxic documents, and in which share of them (and how many), a term has to be.
 LIFT = 20.0
-SHARE = 0.04
+SHARE = 0.006
+LEAST = 4
 CONTEXT = 48
 CHUNK = 1 << 20
 _WORD = re.compile(r"[^\W\d_]{3,24}")
@@ -35,41 +36,60 @@ _CLOSED = re.compile(rb"^[.,!?]?(?:[\"'\xbb]|\xe2\x80[\x9d\x99])")
 _ADDRESS = re.compile(rb"(?i)\b(?:you|your|you're|u)\b")
 
 
-def edits_for(term: str) -> int:
-    """Edits allowed: none in short words, one in longer ones, two in the longest."""
+def most_edits(term: str) -> int:
+    """Edits allowed at most: none in short words, one in longer ones, two in the longest."""
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
-def lexicon(rows: list[tuple[str, int]]) -> list[str]:
+def lexicon(rows: list[tuple[str, int]]) -> dict[str, int]:
+    """Terms, each with the edits allowed: as many as keep the words within them as telling as the term."""
     toxic, other, n = Counter(), Counter(), Counter(y for _, y in rows)
     for text, y in rows:
         (toxic if y else other).update(set(_WORD.findall(text.lower())))
-    least = max(3, SHARE * n[1])
-    strength = {w: (c / max(n[1], 1)) / ((other[w] + 0.5) / max(n[0], 1)) for w, c in toxic.items() if c >= least and w.isascii()}
-    strong = sorted((w for w, s in strength.items() if s >= LIFT), key=lambda w: (-toxic[w], w))
-    return sorted(strong[:TERMS])
+
+    def lift(with_toxic: float, with_other: float) -> float:
+        return (with_toxic / max(n[1], 1)) / ((with_other + 0.5) / max(n[0], 1))
+
+    least = max(LEAST, SHARE * n[1])
+    strong = sorted((w for w, c in toxic.items() if c >= least and lift(c, other[w]) >= LIFT), key=lambda w: (-toxic[w], w))[:TERMS]
+    words = sorted(toxic.keys() | other.keys())
+    raw = np.frombuffer(" ".join([*words, ""]).encode(), np.uint8)
+    end = np.flatnonzero(raw == 32)
+    start = np.concatenate([[0], end[:-1] + 1])
+    in_toxic, in_other = (np.array([c[w] for w in words]) for c in (toxic, other))
+    out = {}
+    for term in sorted(strong):
+        for allowed in range(most_edits(term), -1, -1):
+            edits = Automaton({term: allowed}).run(raw, start, end - start)
+            near = edits > 0
+            if not in_other[near].sum() or lift(in_toxic[near].sum(), in_other[near].sum()) >= LIFT:
+                out[term] = allowed
+                break
+    return out
 
 
 class Automaton:
-    """A deterministic automaton that accepts words within ``edits_for(term)`` of a term.
+    """A deterministic automaton that accepts words within the edits (of UTF-8 bytes) allowed for a term.
 
     ``table[state, symbol]`` is the next state (0 is dead, 1 the start), where a
-    symbol is a letter of the lexicon or 0 for all others; ``accept[state]`` is the
+    symbol is a byte of the lexicon or 0 for all others; ``accept[state]`` is the
     edits spent on the nearest term, or -1.
     """
 
-    def __init__(self, terms: list[str]) -> None:
+    def __init__(self, edits: dict[str, int]) -> None:
+        limits = {t.encode(): e for t, e in edits.items()}
+        terms, edits_for = sorted(limits), limits.__getitem__
         letters = sorted({c for t in terms for c in t})
         self.symbol = np.zeros(256, np.int64)
         for i, c in enumerate(letters):
-            self.symbol[ord(c)] = self.symbol[ord(c.upper())] = i + 1
+            self.symbol[c] = i + 1
         children: list[dict[int, int]] = [{}]
         allowed, ends = [0], [False]  # the most edits of any term below a node
         for term in terms:
             at = 0
             allowed[0] = max(allowed[0], edits_for(term))
             for c in term:
-                s = int(self.symbol[ord(c)])
+                s = int(self.symbol[c])
                 if s not in children[at]:
                     children[at][s] = len(children)
                     children.append({})
@@ -83,7 +103,7 @@ class Automaton:
         for term in terms:
             at = 0
             for c in term:
-                at = children[at][int(self.symbol[ord(c)])]
+                at = children[at][int(self.symbol[c])]
             limit[at] = edits_for(term)
 
         def closed(places: dict[int, int]) -> frozenset:
@@ -144,14 +164,31 @@ class Automaton:
 
 
 _SOLID = np.zeros(256, bool)
-_SOLID[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_SOLID[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lowered(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 in lower case (ASCII and Latin-1 letters), and which bytes are letters or digits (or parts of one)."""
+    low, solid = _LOWER[raw], _SOLID[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    big = lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E) & (raw[lead] != 0x97)]
+    low[big] += 32
+    sign = np.flatnonzero(raw[:-1] == 0xC2)  # Latin-1 signs
+    solid[sign] = solid[sign + 1] = False
+    sign = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x80))  # general punctuation
+    for i in range(3):
+        solid[sign + i] = False
+    return low, solid
 
 
 def hits_of(joined: bytes, automaton: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and edits of the words (letters, digits, and signs between them) that match."""
     raw = np.frombuffer(joined, np.uint8)
     blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    solid = np.flatnonzero(_SOLID[raw])
+    raw, letters = lowered(raw)
+    solid = np.flatnonzero(letters)
     if not len(solid):
         none = np.zeros(0, np.int64)
         return none, none, none
@@ -164,9 +201,7 @@ def hits_of(joined: bytes, automaton: Automaton) -> tuple[np.ndarray, np.ndarray
     gap = np.concatenate([[True], np.diff(solid) > 1])
     last = np.concatenate([gap[1:], [True]])
     part_start, part_end = solid[gap], solid[last] + 1
-    letters = (part_start == 0) | (raw[np.maximum(part_start - 1, 0)] < 128)
-    letters &= (part_end == len(raw)) | (raw[np.minimum(part_end, len(raw) - 1)] < 128)
-    parts = np.where(letters, automaton.run(raw, part_start, part_end - part_start), -1)
+    parts = automaton.run(raw, part_start, part_end - part_start)
     found = {}
     for s, e, d in ((start, end, whole), (part_start, part_end, parts)):
         for i in np.flatnonzero(d >= 0).tolist():
