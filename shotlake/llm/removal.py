@@ -21,7 +21,8 @@ from .windows import BYTE_CODES, chunks, merged, runs, word_codes, words_of
 
 #: Bytes of text that are worked on at once (a longer text stands alone).
 CHUNK = 1 << 18
-RUNS = "array<struct<g:bigint,c:bigint,s:int,m:int>>"
+#: Of each run: the anchor's and the run's hash, first window, windows, and the anchor's distance from the first window.
+RUNS = "array<struct<g:bigint,c:bigint,s:int,m:int,a:int>>"
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -51,20 +52,20 @@ def features(docs: DataFrame, unit: str, length: int, gram: int) -> DataFrame:
         for piece in chunks([len(x) for x in data], CHUNK):
             some = data[piece]
             joined, bounds, codes, ws, we = _units(some, unit)
-            doc, start, m, g = runs(codes, bounds, length, gram)
+            doc, start, m, g, at = runs(codes, bounds, length, gram)
             first, last = start, start + m + length - 1
             if unit == "word" and len(start):
                 first, last = ws[start], we[last - 1]
             view = memoryview(joined)
             c = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(start))
-            parts.append((g.view(np.int64), c.view(np.int64), (start - bounds[doc]).astype(np.int32), m.astype(np.int32)))
+            parts.append((g.view(np.int64), c.view(np.int64), (start - bounds[doc]).astype(np.int32), m.astype(np.int32), (at - start).astype(np.int32)))
             sizes.append(np.bincount(doc, minlength=len(some)))
             n.append(np.diff(bounds))
             sha += [hashlib.sha256(x if unit == "byte" else b" ".join(x.split())).hexdigest() for x in some]
         offsets = np.zeros(len(data) + 1, np.int32)
         np.cumsum(np.concatenate(sizes), out=offsets[1:])
         columns = [pa.array(np.concatenate(x)) for x in zip(*parts)]
-        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, ["g", "c", "s", "m"]))
+        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, ["g", "c", "s", "m", "a"]))
         return {"doc_id": batch.column("doc_id"), "xx": batch.column("xx"), "n": np.concatenate(n), "sha": sha, "runs": listed}
 
     found = arrow_map(texts(docs), of, f"doc_id bigint, xx bigint, n bigint, sha string, runs {RUNS}")
@@ -156,7 +157,7 @@ def cleaned(docs: DataFrame, result: DataFrame, unit: str) -> DataFrame:
 
 
 def shared_runs(found: DataFrame, doc: Column | None = None) -> DataFrame:
-    """The runs as rows: rid, g, c, s, m (and doc)."""
+    """The runs as rows: rid, g, c, s, m, a (and doc)."""
     columns = ["rid", F.explode("runs").alias("r")] + ([doc.alias("doc")] if doc is not None else [])
     rest = ["doc"] if doc is not None else []
     return found.select(*columns).select("rid", "r.*", *rest)

@@ -7,8 +7,8 @@ is two or more, every string in it is repeated.  All other runs of an anchor tha
 stands twice or more go, with one copy of each weighted string, into a
 Burrows-Wheeler transform whose bounded interval expansion (``bwt``) finds the
 strings that stand twice.  An anchor in very many different surroundings (the edge
-of a passage that a large share of the documents has) is split first, window by
-window, into strings of exactly the length, so that no task grows with it.
+of a passage that a large share of the documents has) is split first, into pieces
+of few windows and then into the strings themselves, so that no task grows with it.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from .windows import chunks
 
 LENGTH = 400
 GRAM = 100
-#: Different runs of one anchor above which it is split window by window.
+#: Different runs of one anchor above which it is split, and windows of a piece.
 WIDE = 256
+PIECE = 16
 #: Bytes that one transform holds (the runs of one anchor stay together).
 TRANSFORM = 1 << 20
 
@@ -71,23 +72,78 @@ def _marked(length: int):
 
 
 def _spans(length: int):
-    """Bytes of the runs asked for; of wide anchors only a hash of each string."""
+    """Bytes of the runs asked for."""
 
     def of(batch: pa.RecordBatch) -> dict:
-        out = {k: [] for k in ("g", "rid", "s", "weight", "span", "w")}
+        out = {k: [] for k in ("g", "rid", "s", "m", "a", "weight", "wide", "span")}
         for text, rid, work in zip(utf8(batch), batch.column("rid").to_pylist(), batch.column("work").to_pylist()):
-            view = memoryview(text)
             for x in work:
-                s, end = x["s"], x["s"] + x["m"] + length - 1
-                each = [(s, text[s:end], None)] if not x["wide"] else [(i, None, xxhash.xxh3_64_intdigest(view[i : i + length]) - (1 << 63)) for i in range(s, s + x["m"])]
-                for i, span, w in each:
-                    for k, v in zip(out, (x["g"], rid, i, x["weight"], span, w)):
-                        out[k].append(v)
+                for k, v in (x | {"rid": rid, "span": text[x["s"] : x["s"] + x["m"] + length - 1]}).items():
+                    out[k].append(v)
         return out
 
     return of
 
 
+def _pieces(length: int):
+    """A wide anchor's runs in pieces of ``PIECE`` windows, by their distance from the anchor.
+
+    ``key`` is a hash of the bytes that all windows of a piece share, wherever the
+    run begins and ends, and ``c`` of all bytes that this run has of it.
+    """
+
+    def of(batch: pa.RecordBatch) -> dict:
+        out = {k: [] for k in ("key", "c", "rid", "s", "first", "m", "weight")}
+        digest = xxhash.xxh3_64_intdigest
+        for row in batch.to_pylist():
+            span, a, m = memoryview(row["span"]), row["a"], row["m"]
+            for q in range((a - m + 1) // PIECE, a // PIECE + 1):
+                low, high = max(0, a - PIECE * q - PIECE + 1), min(m - 1, a - PIECE * q)
+                common = span[max(0, a - PIECE * q) : a - PIECE * q - PIECE + 1 + length]
+                key = digest(common, seed=q) - (1 << 63)
+                c = digest(span[low : high + length]) - (1 << 63)
+                for k, v in zip(out, (key, c, row["rid"], row["s"], low, high - low + 1, row["weight"])):
+                    out[k].append(v)
+        return out
+
+    return of
+
+
+def _strings(length: int):
+    """A hash of each string of the pieces."""
+
+    def of(batch: pa.RecordBatch) -> dict:
+        out = {k: [] for k in ("w", "rid", "s", "weight")}
+        for row in batch.to_pylist():
+            span = memoryview(row["span"])
+            for i in range(row["first"], row["first"] + row["m"]):
+                for k, v in zip(out, (xxhash.xxh3_64_intdigest(span[i : i + length]) - (1 << 63), row["rid"], row["s"] + i, row["weight"])):
+                    out[k].append(v)
+        return out
+
+    return of
+
+
+def _wide(spans: DataFrame, length: int) -> DataFrame:
+    """Ranges (rid, s, e) of repeated strings in the runs of wide anchors: piece by piece, then string by string."""
+    span = spans.select("rid", "s", "m", "a", "weight", "span").dropDuplicates(["rid", "s"])
+    pieces = arrow_map(span, _pieces(length), "key bigint, c bigint, rid bigint, s bigint, first int, m int, weight int")
+    pieces = materialize(pieces, "byte-pieces")
+    classes = pieces.groupBy("key", "c").agg(F.sum("weight").alias("all"), F.count("*").alias("n"))
+    classes = materialize(classes, "byte-piece-classes")
+    keys = classes.groupBy("key").agg(F.count("*").alias("k"), F.min("all").alias("least")).filter("k > 1 and least = 1")
+    keys = materialize(keys.select("key", "k"), "byte-open-keys")
+    same = lookup(pieces, classes.filter("all > 1").select("key", "c", "n"), ["key", "c"], "n").filter("weight = 1")
+    same = same.select("rid", (F.col("s") + F.col("first")).alias("s"), (F.col("s") + F.col("first") + F.col("m") + (length - 1)).alias("e"))
+    # pieces that stand once, and one of each that stands more often
+    one = pieces.groupBy("key", "c").agg(*[F.first(k).alias(k) for k in ("rid", "s", "first", "m")], F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight"))
+    todo = lookup(one, keys, ["key"], "k").select("rid", "s", "first", "m", "weight")
+    strings = materialize(arrow_map(todo.join(span.select("rid", "s", "span"), ["rid", "s"]), _strings(length), "w bigint, rid bigint, s bigint, weight int"), "byte-strings")
+    twice = strings.groupBy("w").agg(F.sum("weight").alias("all"), F.count("*").alias("n")).filter("all > 1")
+    single = lookup(strings, materialize(twice.drop("all"), "byte-twice"), ["w"], "n").filter("weight = 1")
+    return same.unionByName(single.select("rid", "s", (F.col("s") + length).alias("e")))
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
     """One row per document: doc_id, xx, n (bytes), n_removed, spans (of bytes), kept_sha256.
 
@@ -95,7 +151,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide:
     """
     found = features(docs, "byte", length, gram)
     runs = shared_runs(found)
-    first = [F.first(k).alias(k) for k in ("rid", "s", "m")]
+    first = [F.first(k).alias(k) for k in ("rid", "s", "m", "a")]
     classes = materialize(runs.groupBy("g", "c").agg(F.count("*").alias("n"), *first), "byte-classes")
     groups = classes.groupBy("g").agg(F.count("*").alias("k"), F.sum("n").alias("all"), F.min("n").alias("least")).filter("all > 1")
     groups = materialize(groups.drop("all"), "byte-groups")
@@ -104,21 +160,16 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide:
     ranges = copies.select("rid", "s", (F.col("s") + F.col("m") + (length - 1)).alias("e"))
 
     # runs that stand once, beside one copy of each that stands more often
-    todo = shared.filter("k > 1 and least = 1").select("rid", F.struct("g", "s", "m", F.least("n", F.lit(2)).cast("int").alias("weight"), (F.col("k") > wide).alias("wide")).alias("w"))
+    todo = shared.filter("k > 1 and least = 1").select("rid", F.struct("g", "s", "m", "a", F.least("n", F.lit(2)).cast("int").alias("weight"), (F.col("k") > wide).alias("wide")).alias("w"))
     todo = todo.groupBy("rid").agg(F.collect_list("w").alias("work")).join(found.select("rid", "doc_id", "xx"), "rid")
     todo = materialize(todo, "byte-todo")
     rows, width = todo.agg(F.count("*"), F.coalesce(F.sum(32 + 24 * F.size("work")), F.lit(0))).first()
-    spans = arrow_map(fetch(docs, todo, 1, width).select("text", "rid", "work"), _spans(length), "g bigint, rid bigint, s bigint, weight int, span binary, w bigint")
+    spans = arrow_map(fetch(docs, todo, 1, width).select("text", "rid", "work"), _spans(length), "g bigint, rid bigint, s bigint, m int, a int, weight int, wide boolean, span binary")
     spans = materialize(spans, "byte-spans")
-    narrow = spans.filter("span is not null").select("g", "rid", "s", "weight", "span").dropDuplicates(["rid", "s"])
+    narrow = spans.filter("not wide").select("g", "rid", "s", "weight", "span").dropDuplicates(["rid", "s"])
     narrow = narrow.repartition("g").sortWithinPartitions("g", "rid", "s")
-    marked = narrow.mapInArrow(_marked(length), "rid bigint, s bigint")
-    strings = spans.filter("w is not null").select("g", "w", "rid", "s", "weight").dropDuplicates(["rid", "s"])
-    strings = materialize(strings, "byte-strings")
-    twice = strings.groupBy("g", "w").agg(F.sum("weight").alias("all"), F.count("*").alias("n")).filter("all > 1")
-    twice = materialize(twice.drop("all"), "byte-twice")
-    marked = marked.unionByName(lookup(strings, twice, ["g", "w"], "n").filter("weight = 1").select("rid", "s"))
-    ranges = ranges.unionByName(marked.select("rid", "s", (F.col("s") + length).alias("e")))
+    marked = narrow.mapInArrow(_marked(length), "rid bigint, s bigint").select("rid", "s", (F.col("s") + length).alias("e"))
+    ranges = ranges.unionByName(marked).unionByName(_wide(spans.filter("wide"), length))
     return remove(docs, found, ranges, "byte")
 
 

@@ -66,12 +66,12 @@ def runs(codes: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple
 
     ``bounds`` has the documents' starts and the end.  Returns, per run: the
     document's number, its first window's start (in ``codes``), the number of
-    windows, the anchor's hash.
+    windows, the anchor's hash and place.
     """
     none = np.zeros(0, np.int64)
     n = len(codes)
     if n < length:
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none
     h = prefix_hash(codes)
     grams = (h[gram:] - h[:-gram]) * _inverses[: n - gram + 1]
     low = np.uint64((1 << int(n).bit_length()) - 1)
@@ -91,7 +91,7 @@ def runs(codes: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple
     last[:-1] &= fresh[1:] | ~valid[1:]
     start, end = np.flatnonzero(fresh), np.flatnonzero(last)
     at = anchor[start].astype(np.int64)
-    return np.searchsorted(bounds, start, "right") - 1, start, end - start + 1, grams[at]
+    return np.searchsorted(bounds, start, "right") - 1, start, end - start + 1, grams[at], at
 
 
 def words_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
