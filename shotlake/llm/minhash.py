@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, lookup, materialize, text_or_empty, utf8
+from .common import arrow_map, lookup, materialize, release, text_or_empty, utf8
 from .components import components
 from .removal import CHUNK, fetch
 from .windows import chunks, mix, prefix_hash, slice_hash, word_codes, words_of
@@ -35,7 +35,7 @@ SEED = 20_24
 #: which a candidate is not verified: over four standard deviations under the threshold.
 SKETCH = 480
 LEAST_EQUAL = 0.78
-BLOCK = 1024
+BLOCK = 512
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -102,16 +102,31 @@ def _linked(percent: int):
     def of(batch: pa.RecordBatch) -> dict:
         keep = []
         for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            at = np.searchsorted(x, y)
-            common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            keep.append(_enough(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
         mask = pa.array(keep)
         return {k: batch.column(k).filter(mask) for k in ("a", "b")}
 
     return of
 
 
+def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, size: int) -> DataFrame:
+    """The shingle sets (rid, set) of some representatives, from their texts."""
+    wanted = materialize(rids.distinct().join(reps.select("rid", "doc_id", "xx"), "rid"), "wanted")
+
+    def shingles(batch: pa.RecordBatch) -> dict:
+        return {"rid": batch.column("rid"), "set": [s.tobytes() for s in sets(utf8(batch), size)]}
+
+    of = arrow_map(fetch(docs, wanted, wanted.count(), 32).select("rid", "text"), shingles, "rid bigint, set binary")
+    return materialize(of.dropDuplicates(["rid"]), "sets")
+
+
+def _enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets overlap enough."""
+    at = np.searchsorted(x, y)
+    common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of class representatives whose sets overlap enough."""
     hot = materialize(pairs.groupBy("b").agg(F.count("*").alias("c")), "leaders")
@@ -125,14 +140,7 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
         return {k: batch.column(k).filter(mask) for k in ("a", "b", "c")}
 
     kept = materialize(arrow_map(both.select("a", "b", "c", "sig_a", "sig_b"), likely, "a bigint, b bigint, c bigint"), "likely")
-    wanted = kept.select(F.col("a").alias("rid")).unionByName(kept.select(F.col("b").alias("rid"))).distinct()
-    wanted = materialize(wanted.join(reps.select("rid", "doc_id", "xx"), "rid"), "wanted")
-
-    def shingles(batch: pa.RecordBatch) -> dict:
-        return {"rid": batch.column("rid"), "set": [s.tobytes() for s in sets(utf8(batch), size)]}
-
-    of = arrow_map(fetch(docs, wanted, wanted.count(), 32).select("rid", "text"), shingles, "rid bigint, set binary").dropDuplicates(["rid"])
-    of = materialize(of, "sets")
+    of = _sets(docs, reps, kept.select(F.col("a").alias("rid")).unionByName(kept.select(F.col("b").alias("rid"))), size)
     # a representative with many candidates gets more copies of its set, dealt by salt
     salted = kept.withColumn("salt", F.pmod(F.xxhash64("a"), F.expr("c div 256 + 1")))
     times = hot.withColumn("salt", F.explode(F.expr("sequence(0L, c div 256)"))).drop("c")
@@ -141,55 +149,90 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
     return arrow_map(full.select("a", "b", "set_a", "set_b"), _linked(percent), "a bigint, b bigint")
 
 
-def _across(percent: int):
-    """Likely pairs of different components among the members of a bucket (or of two blocks of one)."""
-
-    def pairs(band, n, rid, comp, part, sig, bands, i, j):
-        for a in range(0, len(rid), 256):
-            rows = slice(a, min(a + 256, len(rid)))
-            ok = (comp[rows, None] != comp[None]) & (rid[rows, None] > rid[None])
-            if i != j:
-                ok &= part[rows, None] != part[None]
-            ok &= np.minimum(n[rows, None], n[None]) * 100 >= np.maximum(n[rows, None], n[None]) * percent
-            x, y = np.nonzero(ok)
-            for b in range(0, len(x), 1 << 14):
-                p, q = x[b : b + (1 << 14)] + a, y[b : b + (1 << 14)]
-                first = (bands[p] == bands[q]).argmax(axis=1) == band  # a pair counts in the first band it shares
-                p, q = p[first], q[first]
-                good = (sig[p] == sig[q]).mean(axis=1) >= LEAST_EQUAL
-                yield rid[p[good]], rid[q[good]]
+def _likely_pairs(n, rid, comp, part, sig, bands, band, one_block, percent):
+    """Likely pairs (by place, with the share of equal coordinates) of different components in a bucket.
+
+    Of two blocks only pairs across them count, and a pair counts in the first band it shares.
+    """
+    found = [np.zeros((3, 0))]
+    for a in range(0, len(rid), 256):
+        rows = slice(a, min(a + 256, len(rid)))
+        ok = (comp[rows, None] != comp[None]) & (rid[rows, None] > rid[None])
+        if not one_block:
+            ok &= part[rows, None] != part[None]
+        ok &= np.minimum(n[rows, None], n[None]) * 100 >= np.maximum(n[rows, None], n[None]) * percent
+        x, y = np.nonzero(ok)
+        for b in range(0, len(x), 1 << 14):
+            p, q = x[b : b + (1 << 14)] + a, y[b : b + (1 << 14)]
+            first = (bands[p] == bands[q]).argmax(axis=1) == band
+            p, q = p[first], q[first]
+            share = (sig[p] == sig[q]).mean(axis=1)
+            good = share >= LEAST_EQUAL
+            found.append(np.stack([p[good], q[good], share[good]]))
+    p, q, share = np.concatenate(found, axis=1)
+    return p.astype(np.int64), q.astype(np.int64), share
+
+
+def _links(p, q, share, comp, rid, of, percent):
+    """Verified links among the likely pairs, one for each two components that meet; the likeliest are tried first."""
+    parent = {}
+
+    def top(c):
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    for i in np.argsort(-share, kind="stable").tolist():
+        a, b = top(comp[p[i]]), top(comp[q[i]])
+        if a != b and _enough(of[p[i]], of[q[i]], percent):
+            parent[max(a, b)] = min(a, b)
+            yield rid[p[i]], rid[q[i]]
+
+
+_PLACES = ("key", "i", "j", "band", "rid", "comp", "part")
+_INVOLVED = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("band", pa.int32()), ("rid", pa.int64()), ("comp", pa.int64()), ("part", pa.int32())])
+
+
+def _across(percent: int, exact: bool):
+    """Of the members of each bucket (or two blocks of one) that come in order: those of likely pairs, or with
+    ``exact``, where they bring their sets, the verified links."""
+
+    def solve(table: pa.Table):
+        cols = {k: np.asarray(table.column(k)) for k in (*_PLACES, "n")}
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(table), -1)
+        bands = np.asarray(pa.concat_arrays(table.column("bands").chunks).flatten()).reshape(len(table), -1)
+        of = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()] if exact else None
+        group = np.stack([cols[k] for k in ("key", "i", "j")])
+        cuts = np.flatnonzero(np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(axis=0)]))
+        involved, links = [], []
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(table)]):
+            if b - a > 1:
+                c = {k: v[a:b] for k, v in cols.items()}
+                p, q, share = _likely_pairs(c["n"], c["rid"], c["comp"], c["part"], sig[a:b], bands[a:b], c["band"][0], c["i"][0] == c["j"][0], percent)
+                if exact:
+                    links += _links(p, q, share, c["comp"].tolist(), c["rid"].tolist(), of[a:b], percent)
+                elif len(p):
+                    involved.append(a + np.unique(np.concatenate([p, q])))
+        if exact:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in range(2)], ["a", "b"])
+        at = np.concatenate([np.zeros(0, np.int64), *involved])
+        return pa.RecordBatch.from_arrays([pa.array(cols[f.name][at], f.type) for f in _INVOLVED], schema=_INVOLVED)
 
     def run(batches):
         kept = None
-        names = ("key", "i", "j", "band", "n", "rid", "comp", "part")
-
-        def solve(cols, sig, bands):
-            key = np.stack(cols[:3])
-            cuts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
-            found = [np.zeros((2, 0), np.int64)]
-            for a, b in zip(cuts, [*cuts[1:], key.shape[1]]):
-                if b - a > 1:
-                    found += [np.stack(x) for x in pairs(cols[3][a], *(c[a:b] for c in cols[4:8]), sig[a:b], bands[a:b], cols[1][a], cols[2][a])]
-            a, b = np.concatenate(found, axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [np.asarray(batch.column(k)) for k in names]
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bands = np.asarray(batch.column("bands").flatten()).reshape(batch.num_rows, -1)
-            if kept is not None:
-                now = [np.concatenate([x, y]) for x, y in zip(kept[0], now)]
-                sig, bands = np.concatenate([kept[1], sig]), np.concatenate([kept[2], bands])
-            end = len(now[0]) - 1
-            differs = np.flatnonzero((now[0][:-1] != now[0][end]) | (now[1][:-1] != now[1][end]) | (now[2][:-1] != now[2][end]))
-            cut = int(differs[-1]) + 1 if len(differs) else 0
+            table = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+            key, i, j = (np.asarray(table.column(k)) for k in ("key", "i", "j"))
+            differs = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
+            cut = int(differs[-1]) + 1 if len(differs) else 0  # the last group may go on in the next batch
             if cut:
-                yield solve([x[:cut] for x in now], sig[:cut], bands[:cut])
-            kept = [x[cut:] for x in now], sig[cut:], bands[cut:]
+                yield solve(table.slice(0, cut))
+            kept = table.slice(cut)
         if kept is not None:
-            yield solve(*kept)
+            yield solve(kept)
+        release()
 
     return run
 
@@ -228,10 +271,13 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     rest = lookup(placed, open_, ["key"], "m").withColumn("blocks", blocks).withColumn("part", F.expr("cast(pmod(xxhash64(rid), blocks) as int)"))
     rest = rest.join(reps.select("rid", "n", "sig", "bands"), "rid")
     rest = rest.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).select("key", "i", "j", "band", "n", "rid", "comp", "part", "sig", "bands")
-    across = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across(percent), "a bigint, b bigint")
-    second = materialize(across.distinct(), "across")
-    links = links.unionByName(_verified(docs, reps, second, size, percent))
+    rest = rest.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).select(*_PLACES, "n", "sig", "bands")
+    dealt = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    places = "key bigint, i int, j int, band int, rid bigint, comp bigint, part int"
+    involved = materialize(dealt(rest).mapInArrow(_across(percent, False), places), "involved")
+    of = _sets(docs, reps, involved.select("rid"), size)
+    full = involved.join(reps.select("rid", "n", "sig", "bands"), "rid").join(of, "rid").select(*_PLACES, "n", "sig", "bands", "set")
+    links = links.unionByName(dealt(full).mapInArrow(_across(percent, True), "a bigint, b bigint"))
 
     joined = materialize(components(links), "components")
     least = joined.join(reps.select(F.col("rid").alias("node"), "doc"), "node").groupBy("component").agg(F.min(F.struct("doc", F.col("node").alias("rid"))).alias("m"))
