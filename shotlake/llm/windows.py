@@ -12,6 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 _M = (1 << 64) - 1
+#: Low bits that hold a gram's place; the same for texts of any length, so that equal windows break ties alike.
+_PLACE = (1 << 31) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers = np.ones(1, np.uint64)
@@ -74,7 +76,7 @@ def runs(codes: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple
         return none, none, none, none.astype(np.uint64), none
     h = prefix_hash(codes)
     grams = (h[gram:] - h[:-gram]) * _inverses[: n - gram + 1]
-    low = np.uint64((1 << int(n).bit_length()) - 1)
+    low = np.uint64(_PLACE)
     anchor = mix(grams)
     anchor &= ~low
     anchor |= np.arange(len(anchor), dtype=np.uint64)
