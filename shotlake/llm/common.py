@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
@@ -82,6 +83,24 @@ def fenced(df: DataFrame, condition: str) -> DataFrame:
     return df.withColumn("_fence", F.monotonically_increasing_id()).filter(F.expr(condition) & (F.col("_fence") >= 0)).drop("_fence")
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``operator``, from documents to documents, made safe for any further columns.
+
+    They go through it under plain names; one that the operator makes itself is replaced.
+    """
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = {f"own_{i}": c for i, c in enumerate(docs.columns) if c.lower() not in ("doc_id", "text")}
+        plain = {c: k for k, c in names.items()}
+        found = operator(docs.toDF(*[plain.get(c, c) for c in docs.columns]), *args, **options)
+        made = {c.lower() for c in found.columns if c not in names}
+        found = found.drop(*[k for k, c in names.items() if c.lower() in made])
+        return found.toDF(*[names.get(c, c) for c in found.columns])
+
+    return run
+
+
 def fits(rows: int, width: int, bound: int = BROADCAST_BYTES) -> bool:
     """Whether ``rows`` measured rows of ``width`` bytes may be broadcast."""
     return rows * width <= bound

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golomb
-from .common import lookup, materialize, small, text_or_empty
+from .common import lookup, materialize, shielded, small, text_or_empty
 
 BITS = 48
 #: Fingerprints that one owner should hold.
@@ -122,6 +122,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
+@shielded
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each text: all columns, the rows that ``exact_dedup`` keeps.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, lookup, materialize, release, text_or_empty, utf8
+from .common import arrow_map, lookup, materialize, release, shielded, text_or_empty, utf8
 from .components import components
 from .removal import CHUNK, fetch
 from .windows import chunks, mix, prefix_hash, slice_hash, word_codes, words_of
@@ -295,6 +295,7 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     return full.select(*columns).unionByName(alone)
 
 
+@shielded
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component (of repeated rows one stays)."""
     result = materialize(near_dedup(docs), "near-result")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fenced, lookup, materialize, small, text_or_empty
+from .common import fenced, lookup, materialize, shielded, small, text_or_empty
 
 #: The kinds in their order, with their patterns.  Possessive
 #: quantifiers match what the plain ones would, without recursion.
@@ -134,6 +134,7 @@ def _generalised(text: Column) -> Column:
     return F.aggregate(F.array_sort(F.concat(*every)), begin, step, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text) - state["at"])))
 
 
+@shielded
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone, base_spans, spans and clean_text.
 

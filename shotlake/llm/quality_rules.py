@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fenced, text_or_empty
+from .common import fenced, shielded, text_or_empty
 
 #: ASCII white space, which separates words.
 BLANKS = " \t\n\u000b\u000c\r"
@@ -104,6 +104,7 @@ def passes(x: Column) -> Column:
     return ~(navigation | boilerplate | noisy | shouting | bare)
 
 
+@shielded
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost, cleaned_text.
 
@@ -121,6 +122,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return base.select(*[F.col(c) for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
+@shielded
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with the columns of ``quality_rules``."""
     return fenced(quality_rules(docs), "kept")

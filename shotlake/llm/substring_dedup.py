@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, lookup, materialize
+from .common import arrow_map, lookup, materialize, shielded
 from .removal import cleaned, features, fetch, remove, shared_runs
 from .windows import word_codes, words_of, prefix_hash, slice_hash
 
@@ -103,6 +103,7 @@ def substring_dedup(docs: DataFrame, words: int = WORDS, gram: int = GRAM, batch
     return remove(docs, found, _repeated(docs, found, anchors, index.merged(), words), "word")
 
 
+@shielded
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated passages."""
     return cleaned(docs, substring_dedup(docs), "word")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import arrow_map, lookup, materialize, utf8
+from .common import arrow_map, lookup, materialize, shielded, utf8
 from .removal import cleaned, features, fetch, remove, shared_runs
 from .windows import chunks
 
@@ -173,6 +173,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide:
     return remove(docs, found, ranges, "byte")
 
 
+@shielded
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated strings (a cut within a character leaves a replacement mark)."""
     return cleaned(docs, suffix_dedup(docs), "byte")

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shotlake.llm import bpe, bwt, exact_dedup, golomb, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity
+from shotlake.llm import bpe, bwt, exact_dedup, golomb, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity, windows
 
 RANKS, JSON, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 key = lambda row: tuple((x is None, str(x)) for x in row)
@@ -197,6 +197,40 @@ def test_automaton():
     assert a.run(raw, start, end - start).tolist() == list(words.values())
 
 
+def test_clashing_columns(spark):
+    import corpus_pipeline as c
+
+    extra = ["_id", "_xx", "_text", "_kept", "_spans", "_term", "_fence", "own_1", "kept", "n_email", "clean_text", "cleaned_text", "a.b", "rid"]
+    rows = [(i, t, *[f"{k}{i}" for k in extra]) for i, t in DOCS if i is not None and i < 203]
+    clash = spark.createDataFrame(rows, f"doc_id bigint, text string, {', '.join(f'`{k}` string' for k in extra)}")
+    steps = [lambda d, f=f: f(spark, d, "") for _, f in c.STAGES[:-1]] + [suffix_dedup.clean, substring_dedup.clean]
+    for step in steps:
+        out = step(clash)
+        assert out.columns == clash.columns
+        assert all(list(r)[2:] == [f"{k}{r.doc_id}" for k in extra] for r in out.collect())
+    assert pii.sanitise(clash).columns[-1] == "clean_text" and quality_rules.quality_rules(clash).filter("kept").count() > 0
+
+
+def test_long_texts(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 8)))
+    long = " ".join(word() for _ in range(60_000))
+    rows = [(1, long), (2, long[:150_000] + " " + " ".join(word() for _ in range(9_000))), (3, long + " end"), (4, ""), (5, None), (6, long[1000:1900])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert same(substring_dedup.substring_dedup(docs).select("doc_id", "n", "n_removed", "kept_sha256").collect(), brute.substring(rows))
+    assert same(suffix_dedup.suffix_dedup(docs).select("doc_id", "n", "n_removed", F.size("spans"), "kept_sha256").collect(), brute.suffix(rows))
+    assert same(minhash.near_dedup(docs).select("doc_id", "n_shingles", "component_id").collect(), brute.near(rows))
+    got = quality_rules.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
+    assert same(got, [(i, *brute.rules(t)) for i, t in rows])
+
+
+def test_anchors_do_not_depend_on_what_follows():
+    codes = windows.BYTE_CODES[np.frombuffer(b"ab" * 300 + bytes(random.Random(2).choices(range(97, 101), k=2000)), np.uint8)]
+    short, long = (windows.runs(np.concatenate([codes, np.zeros(k, np.uint64)]), np.array([0, len(codes)] + [len(codes) + k] * (k > 0)), 400, 100) for k in (0, 300_000))
+    mine = long[0] == 0
+    assert all(np.array_equal(a, b[mine]) for a, b in zip(short, long))
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
