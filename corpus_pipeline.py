@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,15 +12,17 @@ from shotlake.llm.common import materialize
 from shotlake.llm.queries import documents, pattern, tokenizer_file
 
 
-def _with_text(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The columns of ``docs`` with the text in ``text``, and its length where there is n_chars."""
+def _with_text(operator: Callable[[DataFrame], DataFrame], docs: DataFrame, text: str) -> DataFrame:
+    """What ``operator`` keeps of ``docs``, with the text in its column ``text``, and its length where there is n_chars."""
+    plain = [c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(docs.columns)]
     new = {"text": F.col(text), "n_chars": F.length(text).cast("bigint")}
-    return found.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    found = operator(docs.toDF(*plain))
+    return found.select(*[new.get(c, F.col(p)).alias(c) for c, p in zip(docs.columns, plain)])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail a rule go, then documents that fail a base rule or lose too much."""
-    return _with_text(quality_rules.accepted(docs), docs, "cleaned_text")
+    return _with_text(quality_rules.accepted, docs, "cleaned_text")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +37,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind."""
-    return _with_text(pii.sanitise(docs), docs, "clean_text")
+    return _with_text(pii.sanitise, docs, "clean_text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
