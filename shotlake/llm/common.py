@@ -25,6 +25,8 @@ HOT_LEAST = 64
 
 #: Rows of an Arrow batch at most.
 BATCH_ROWS = 2000
+#: Bytes of an Arrow batch at most (a longer row stands alone).
+BATCH_BYTES = 8 << 20
 
 _left_over: list[tuple[SparkSession, str]] = []
 
@@ -148,10 +150,13 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None],
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's rows per Arrow batch, so that texts of some 10 kB fill some 20 MB."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) > BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Lower the session's rows and bytes per Arrow batch, as a worker holds several copies of a batch's texts."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(size, f"{BATCH_BYTES}b")
 
 
 def release() -> None:
