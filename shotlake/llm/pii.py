@@ -5,16 +5,19 @@ spans: a string whose own information content is that of a credential (``secret`
 and a term that reveals a protected entity (``term``): of the documents with the
 term so many hold the entity that their mutual information reaches ``DISCLOSED``
 of the entity's information content.  Only terms that could identify (with a
-capital or a digit) count, and only with an entity that stands on ``SUPPORT``
-different lines, in the whole corpus, so that copies of one line prove nothing.
+capital or a digit) count.  The two may stand anywhere in a document, and all
+documents count, those with an entity once for each text.  That so many agree by
+chance must be less likely than ``CHANCE`` over all pairs tried (Bonferroni).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fenced, lookup, materialize, shielded, small, text_or_empty
+from .common import fenced, fits, lookup, materialize, shielded, small, text_or_empty
 
 #: The kinds in their order, with their patterns.  Possessive
 #: quantifiers match what the plain ones would, without recursion.
@@ -28,8 +31,8 @@ SECRET = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-
 HINTS = {"email": "@", "phone": "+"}
 BASE = tuple(PATTERNS)
 KINDS = (*BASE, "secret", "term")
-SUPPORT = 5
 DISCLOSED = 0.95
+CHANCE = 0.01
 SPAN = "array<struct<start:int,end:int,value:string>>"
 _BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
@@ -86,35 +89,58 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 4) & w.rlike(r"^\p{Lu}|[0-9]")))
 
 
+def _copies(texts: DataFrame) -> DataFrame:
+    """The rids of documents whose text another of them has with a lower rid."""
+    firsts = texts.groupBy("_xx").agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return lookup(texts, materialize(firsts, "copied"), ["_xx"], "n").filter("rid <> first").select("rid").distinct()
+
+
+def _bits(both: Column, of: Column, holders: Column, total: int) -> Column:
+    """Hoeffding's bound, in bits, on chance putting an entity into ``both`` or more of the ``of`` documents with a term."""
+    a, p = both / of, holders / F.lit(float(total))
+    rest = F.when(both < of, (1 - a) * F.log2((1 - a) / (1 - p))).otherwise(0.0)
+    return of * (a * F.log2(a / p) + rest)
+
+
 def disclosing_terms(texts: DataFrame, base: DataFrame) -> DataFrame:
     """Terms (column term) that reveal a protected entity, from all documents.
 
-    ``texts`` has rid and text; ``base`` rid and the spans of the base kinds for
-    those documents that have any.
+    ``texts`` has rid, _xx and text; ``base`` rid and the spans of the base kinds
+    for those documents that have any.  Every entity is tried with every term of
+    its documents; what is left out before pairs are made can't pass for any pair.
     """
+    copies = materialize(_copies(texts.select("rid", "_xx").join(base.select("rid"), "rid", "left_semi")), "copies")
+    number = copies.count()
+    if number:
+        texts, base = [x.join(small(copies, number, 16), "rid", "left_anti") for x in (texts, base)]
+    total = max(texts.count(), 1)
     entities = F.concat(*[F.transform(f"_{k}", lambda s: F.concat(F.lit(k + ":"), s["value"])) for k in BASE])
     holders = materialize(base.select("rid", F.explode(F.array_distinct(entities)).alias("entity")), "holders")
-    frequent = holders.groupBy("entity").agg(F.count("*").alias("docs")).filter(F.col("docs") >= SUPPORT)
-    frequent = materialize(frequent, "entities")
-    lines = texts.join(base.select("rid"), "rid").select("rid", F.explode(F.split("text", "\n")).alias("line"))
-    lines = detected(lines.filter(F.col("line").rlike("[0-9@]")), "line", PATTERNS).withColumn("entity", F.explode(F.array_distinct(entities)))
-    lines = lines.select("rid", "entity", F.xxhash64("line").alias("line_hash"), F.explode(_terms(F.col("line"))).alias("term"))
-    lines = lookup(lines, frequent, ["entity"], "docs").filter(~F.contains(F.col("entity"), F.col("term")))
-    pairs = lines.groupBy("entity", "term", "line_hash").agg(F.count("*").alias("c")).groupBy("entity", "term").agg(F.count("*").alias("lines")).filter(F.col("lines") >= SUPPORT)
-    pairs = materialize(pairs.drop("lines"), "pairs")
-    wanted = materialize(pairs.select("term").distinct(), "wanted-terms")
+    terms = texts.select("rid", F.explode(_terms(F.col("text"))).alias("term"))
+    held = texts.join(holders.select("rid").distinct(), "rid", "left_semi")
+    held = materialize(held.select("rid", F.explode(_terms(F.col("text"))).alias("term")), "held-terms")
+    each = holders.groupBy("rid").agg(F.count("*").alias("e")).join(held.groupBy("rid").agg(F.count("*").alias("t")), "rid")
+    tested = each.agg(F.sum(F.col("e").cast("double") * F.col("t"))).first()[0] or 0.0
+    least = math.log2(max(tested, 1.0) / CHANCE)
+
+    wanted = held.groupBy("term").agg(F.count("*").alias("docs_h")).filter(F.col("docs_h") * math.log2(total) >= least)
+    wanted = materialize(wanted, "wanted-terms")
     number = wanted.count()
-    if not number:
-        return wanted
-    total = texts.count()
-    held = texts.select("rid", F.explode(_terms(F.col("text"))).alias("term")).join(small(wanted, number, 64), "term")
-    held = materialize(held, "held-terms")
-    with_term = materialize(held.groupBy("term").agg(F.count("*").alias("docs_t")), "term-docs")
-    both = lookup(held, with_term, ["term"], "docs_t").join(holders.join(frequent, "entity"), "rid").groupBy("entity", "term").agg(F.count("*").alias("docs_ct"), F.first("docs_t").alias("docs_t"), F.first("docs").alias("docs_c"))
-    both = both.join(pairs, ["entity", "term"])
+    if fits(number, 64):
+        terms = terms.join(F.broadcast(wanted), "term", "left_semi")
+    with_term = terms.groupBy("term").agg(F.count("*").alias("docs_t")).join(small(wanted, number, 64), "term")
+    possible = (F.col("docs_h") >= F.col("docs_t") * total ** (DISCLOSED - 1)) & (F.col("docs_h") * F.log2(F.lit(float(total)) / F.col("docs_t")) >= least)
+    with_term = materialize(with_term.filter(possible), "term-docs")
+    known = holders.groupBy("entity").agg(F.count("*").alias("docs_c"))
+    known = materialize(known.filter((F.col("docs_c") < total) & (F.col("docs_c") * F.log2(F.lit(float(total)) / F.col("docs_c")) >= least)), "entities")
+
+    left = lookup(held, with_term, ["term"], "docs_h").select("rid", "term", "docs_t")
+    both = left.join(lookup(holders, known, ["entity"], "docs_c"), "rid").filter(~F.contains(F.col("entity"), F.col("term")))
+    both = both.groupBy("entity", "term").agg(F.count("*").alias("docs_ct"), F.first("docs_t").alias("docs_t"), F.first("docs_c").alias("docs_c"))
     content = F.log2(F.lit(float(total)) / F.col("docs_c"))
     mutual = F.log2(F.col("docs_ct") * float(total) / (F.col("docs_c").cast("double") * F.col("docs_t")))
-    return materialize(both.filter((content > 0) & (mutual >= content * DISCLOSED)).select("term").distinct(), "disclosing")
+    sure = _bits(F.col("docs_ct"), F.col("docs_t"), F.col("docs_c"), total) >= least
+    return materialize(both.filter((mutual >= content * DISCLOSED) & sure).select("term").distinct(), "disclosing")
 
 
 def _joined(kinds: tuple[str, ...]) -> Column:
@@ -156,8 +182,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
         edge = r"[\p{L}\p{N}]"
         hits = hits.groupBy("rid").agg(F.concat(F.lit(f"(?<!{edge})(?:"), F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("\\Q"), "term", F.lit("\\E")))), "|"), F.lit(f")(?!{edge})")).alias("_pattern"))
         hits = materialize(hits.withColumnRenamed("rid", "_rid"), "term-hits")
-        rows = hits.count()
-        found = found.withColumn("_key", F.xxhash64("_id", "_xx")).join(small(hits, rows, 256), F.col("_key") == F.col("_rid"), "left")
+        rows, width = hits.agg(F.count("*"), F.coalesce(F.max(F.octet_length("_pattern")), F.lit(0))).first()
+        found = found.withColumn("_key", F.xxhash64("_id", "_xx")).join(small(hits, rows, 64 + width), F.col("_key") == F.col("_rid"), "left")
         found = found.withColumn("_found", F.when(F.col("_pattern").isNotNull(), F.regexp_extract_all("_text", F.col("_pattern"), F.lit(0))))
         spans = F.when(F.size("_found") > 0, _places(F.col("_text"), F.col("_found"), F.split(F.col("_text"), F.col("_pattern"), -1))).otherwise(none)
         found = found.withColumn("_term", F.coalesce(spans, none))

@@ -119,6 +119,19 @@ def test_disclosing_terms(spark):
     assert all("Zorblatt" not in r.clean_text for r in got)
 
 
+def test_disclosing_terms_of_few_documents(spark):
+    line = "Signed Quimbly, q.b@mail.example.com"
+    rows = [(i, f"{line}\nshe said {'so ' * (i + 1)}") for i in range(6)]  # one line, in different documents
+    rows += [(20 + i, f"Vraxton\nnote {'on ' * (i + 1)}\nwrite to v.x@mail.example.com") for i in range(4)]  # few documents, two lines apart
+    rows += [(30 + i, "Copied Wexford, w.w@mail.example.com") for i in range(9)]  # nine copies of one document
+    rows += [(100 + i, f"nothing Common {'of note ' * (i + 1)}") for i in range(200)]
+    clean = {r.doc_id: r.clean_text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all("Quimbly" not in clean[i] for i in range(6))
+    assert all("Vraxton" not in clean[20 + i] for i in range(4))
+    assert all("Wexford" in clean[30 + i] for i in range(9))
+    assert all("Common" in clean[100 + i] for i in range(200))
+
+
 def test_bpe(docs, empty):
     import base64
 
