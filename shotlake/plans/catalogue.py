@@ -412,6 +412,24 @@ def q_candidate_gate(d: Data) -> DataFrame:
     return found.filter(~F.col("failure").isin("locator gap over stride", "answer window not covered"))
 
 
+_USABLE = "(select video_id, shot_id, frame_idx from admitted where locator and rejected is distinct from 'decode_missing')"
+
+
+@query(f"""select video_id, 'duplicate frame' as failure, count(*) as n from (select video_id from admitted group by video_id, frame_idx having count(*) > 1) group by video_id
+ union all select a.video_id, 'outside its shot', count(*) from admitted a left join fx_shots s using (video_id, shot_id) where s.start_frame is null or a.frame_idx not between s.start_frame and s.end_frame group by a.video_id
+ union all select a.video_id, 'inside a zone', count(*) from admitted a where exists (select 1 from zones z where z.video_id = a.video_id and a.frame_idx between z.start_frame and z.end_frame) group by a.video_id
+ union all select video_id, 'shot without locator', count(*) from fx_shots s where not exists (select 1 from {_USABLE} u where u.video_id = s.video_id and u.shot_id = s.shot_id) group by video_id
+ union all select video_id, 'shot without eligible frame', count(*) from fx_shots s where not exists (select 1 from admitted a where a.video_id = s.video_id and a.shot_id = s.shot_id and a.rejected is null) group by video_id
+ union all select video_id, 'locator gap over stride', count(*) from (select video_id, case when max(frame_idx) is null then end_frame - start_frame + 1 else greatest(min(frame_idx) - start_frame, coalesce(max(step), 0), end_frame - max(frame_idx)) end as gap
+  from (select s.*, u.frame_idx, u.frame_idx - lag(u.frame_idx) over (partition by s.video_id, s.shot_id order by u.frame_idx) as step from fx_shots s left join {_USABLE} u using (video_id, shot_id)) group by video_id, shot_id, start_frame, end_frame) where gap > 4 group by video_id
+ union all select distinct video_id, 'answer window not covered', 1 from (select video_id, shot_id, unnest(generate_series(start_frame, end_frame - 3)) as b from fx_shots) w
+  where not exists (select 1 from {_USABLE} u where u.video_id = w.video_id and u.shot_id = w.shot_id and u.frame_idx between b and b + 3)
+ union all select p.video_id, 'rows differ from the plan', 1 from plan p left join (select video_id, count(*) as c from admitted group by video_id) a using (video_id) where coalesce(c, 0) <> target_rows
+ union all select video_id, 'decode missing', count(*) from admitted where rejected = 'decode_missing' group by video_id""")
+def q_candidate_checks(d: Data) -> DataFrame:
+    return evaluate.candidate_failures(d.admitted, d.shots, d.zones, d.plan, SMALL)
+
+
 @query("""select s.*, s.seed_rows + s.rescue_bound as row_bound, (s.seed_rows + s.rescue_bound) * 128e0 / 1073741824e0 as gib_bound from (select sum(n)::bigint as seed_rows, sum(l)::bigint as locator_rows, sum(ceil(l * 0.15e0))::bigint as rescue_bound,
  (select count(*) from (select distinct s.video_id, f from (select video_id, shot_id, unnest(generate_series(frame_idx - 3, frame_idx + 3)) as f from seeds) t join fx_shots s using (video_id, shot_id) where f between start_frame and end_frame)) as decode_rows
  from (select count(*) as n, count(*) filter (where locator) as l from seeds group by video_id, shot_id)) s""")

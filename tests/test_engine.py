@@ -81,6 +81,11 @@ def test_views(spark):
     assert all(r.discovery for r in rows if r.localization) and all((r.source is not None) == r.discovery for r in rows)
 
 
+def test_candidate_checks(spark):
+    found = {r.failure for r in catalogue.QUERIES["q_candidate_checks"](spark, SF).collect()}
+    assert {"locator gap over stride", "answer window not covered", "decode missing"} <= found
+
+
 def test_pixels():
     rgb = np.zeros((90, 160, 3), np.uint8)
     rgb[:, 80:] = 200
