@@ -293,6 +293,15 @@ def q_vector_integrity(d: Data) -> DataFrame:
     return r.select("vectors", "missing", "unexpected", F.round("norm_min", 4).alias("norm_min"), F.round("norm_max", 4).alias("norm_max"), _joined("failures"))
 
 
+@query("""select count(n) as vectors, count(*) filter (where n is null) as missing, count(*) filter (where wanted is null) as unexpected, round(min(n), 4) as norm_min, round(max(n), 4) as norm_max,
+ array_to_string(list_filter([case when count(*) filter (where n is null) > 0 then 'missing' end, case when count(*) filter (where wanted is null) > 0 then 'unexpected' end, case when count(*) filter (where dim <> 64) > 0 then 'wrong_dim' end,
+ case when count(*) filter (where isnan(n) or isinf(n)) > 0 then 'not_finite' end, case when count(*) filter (where abs(n - 1) > 2e-3) > 0 then 'not_unit' end], lambda x: x is not null), ',') as failures
+ from (select video_id, frame_idx, true as wanted from admitted) a full join (select video_id, frame_idx, sqrt(list_dot_product(v, v)) as n, len(v) as dim from fx_vectors) f using (video_id, frame_idx)""")
+def q_vector_match(d: Data) -> DataFrame:
+    r = vectors.integrity(d.admitted, d.vectors, SMALL)
+    return r.select("vectors", "missing", "unexpected", F.round("norm_min", 4).alias("norm_min"), F.round("norm_max", 4).alias("norm_max"), _joined("failures"))
+
+
 @query("select video_id, shot_id, earlier, frame_idx from pairs")
 def q_semantic_pairs(d: Data) -> DataFrame:
     return vectors.similar_pairs(d.candidates.filter("rejected is null"), SMALL).drop("cosine")

@@ -111,6 +111,14 @@ def test_integrity(spark):
     assert vectors.integrity(rows, rows, SMALL).first().failures == ["wrong_dim"]
 
 
+def test_vector_match(spark):
+    data = catalogue.Data(spark, SF)
+    row = catalogue.QUERIES["q_vector_match"](spark, SF).first()
+    admitted, stored = [{(r.video_id, r.frame_idx) for r in x.select("video_id", "frame_idx").collect()} for x in (data.admitted, data.vectors)]
+    assert row.missing == len(admitted - stored) > 0 and row.unexpected == len(stored - admitted) > 0
+    assert row.failures == "missing,unexpected"
+
+
 def test_run(spark, tmp_path):
     from dataclasses import replace
 
