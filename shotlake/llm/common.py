@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import ctypes
 import functools
+import operator
 import shutil
 import tempfile
 import uuid
@@ -14,8 +15,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
-#: A side is broadcast only if its measured rows times their width stay under this.
+#: A side is broadcast only if its measured bytes stay under this.
 BROADCAST_BYTES = 64 << 20
 #: A key counts as hot when it holds more than this share of the rows; at most
 #: ``1 / HOT_SHARE`` keys can be hot, which bounds the broadcast of hot keys.
@@ -32,7 +34,7 @@ _left_over: list[tuple[SparkSession, str]] = []
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only where none is set."""
+    """The shared folder named by the session; a temporary one only in local mode and where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -40,6 +42,8 @@ def _scratch_root(spark: SparkSession) -> str:
     set_before = context.getCheckpointDir()
     if set_before:
         return set_before.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="shotlake-scratch-")
     atexit.register(shutil.rmtree, local, True)
     context.setCheckpointDir(local)
@@ -103,14 +107,34 @@ def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
-def fits(rows: int, width: int, bound: int = BROADCAST_BYTES) -> bool:
-    """Whether ``rows`` measured rows of ``width`` bytes may be broadcast."""
-    return rows * width <= bound
+def _width(column: Column, kind: DataType) -> Column:
+    """Bytes that a value takes in a row, with its place there."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + 16
+    if isinstance(kind, StructType):
+        return functools.reduce(operator.add, [_width(column[f.name], f.dataType) for f in kind.fields], F.lit(24))
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, (StringType, BinaryType)):
+        return F.aggregate(column, F.lit(32).cast("bigint"), lambda a, x: a + _width(x, kind.elementType))
+    if isinstance(kind, ArrayType):  # elements of one width
+        fields = len(kind.elementType.fields) if isinstance(kind.elementType, StructType) else 0
+        return F.greatest(F.size(column), F.lit(0)).cast("bigint") * (24 + 8 * fields if fields else 8) + 32
+    return F.lit(8)
 
 
-def small(df: DataFrame, rows: int, width: int) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size allows, else unchanged."""
-    return F.broadcast(df) if fits(rows, width) else df
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take in a broadcast table (``df`` has to be cheap to read)."""
+    each = functools.reduce(operator.add, [F.coalesce(_width(F.col(f"`{f.name}`"), f.dataType).cast("bigint"), F.lit(16).cast("bigint")) for f in df.schema.fields], F.lit(32).cast("bigint"))
+    return df.agg(F.sum(each)).first()[0] or 0
+
+
+def fits(df: DataFrame, bound: int = BROADCAST_BYTES) -> bool:
+    """Whether the measured bytes of ``df`` may be broadcast."""
+    return measured_bytes(df) <= bound
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its measured bytes allow, else unchanged."""
+    return F.broadcast(df) if fits(df) else df
 
 
 def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:

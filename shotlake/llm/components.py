@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import lookup, materialize
 
+#: A round halves the longest path at least, so that no graph needs as many.
 ROUNDS = 100
 
 
@@ -33,4 +34,6 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = state
         edges = _star(_star(edges, False), True)
+    else:
+        raise RuntimeError(f"components are not final after {ROUNDS} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

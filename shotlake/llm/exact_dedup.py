@@ -102,7 +102,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     meta = materialize(docs.select(*columns).withColumn("rid", F.monotonically_increasing_id()), "fingerprints")
     rows = meta.count()
     found = materialize(suspects(meta, max(LEAST_OWNERS, -(-rows // PER_OWNER))), "suspects")
-    few = small(found, found.count(), 16)
+    few = small(found)
     key = ["text_sha256", "xx"]
     texts = docs.select(*columns[1:], text.alias("text")).join(few, "fp", "left_semi")
     checked = texts.groupBy(*key, "text").agg(F.count("*").alias("n"))
@@ -131,7 +131,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     result = exact_dedup(docs)
     gone = materialize(result.filter("not kept").join(result.filter("kept").select(F.col("doc_id").alias("_i"), F.col("xx").alias("_h")), F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("xx") == F.col("_h")), "left").select("doc_id", "xx", F.col("_h").isNotNull().alias("_repeated")).distinct(), "dropped")
     key = F.xxhash64(text_or_empty())
-    marks = small(gone.select(F.col("doc_id").alias("_id"), F.col("xx").alias("_xx"), "_repeated"), gone.count(), 24)
+    marks = small(gone.select(F.col("doc_id").alias("_id"), F.col("xx").alias("_xx"), "_repeated"))
     joined = docs.join(marks, docs.doc_id.cast("bigint").eqNullSafe(F.col("_id")) & (key == F.col("_xx")), "left")
     once = joined.filter("_repeated").dropDuplicates(["_id", "_xx"])
     return joined.filter("_xx is null").unionByName(once).select(*docs.columns)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, lookup, materialize, release, shielded, text_or_empty, utf8
+from .common import arrow_map, lookup, materialize, release, shielded, small, text_or_empty, utf8
 from .components import components
 from .removal import CHUNK, fetch
 from .windows import chunks, mix, prefix_hash, slice_hash, word_codes, words_of
@@ -116,7 +116,7 @@ def _sets(docs: DataFrame, reps: DataFrame, rids: DataFrame, size: int) -> DataF
     def shingles(batch: pa.RecordBatch) -> dict:
         return {"rid": batch.column("rid"), "set": [s.tobytes() for s in sets(utf8(batch), size)]}
 
-    of = arrow_map(fetch(docs, wanted, wanted.count(), 32).select("rid", "text"), shingles, "rid bigint, set binary")
+    of = arrow_map(fetch(docs, wanted).select("rid", "text"), shingles, "rid bigint, set binary")
     return materialize(of.dropDuplicates(["rid"]), "sets")
 
 
@@ -303,8 +303,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     one = result.groupBy("doc_id", "xx").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     gone = materialize(one.filter("not kept or n > 1"), "near-dropped")
     marks = gone.select(F.col("doc_id").alias("_id"), F.col("xx").alias("_xx"), F.col("kept").alias("_kept"))
-    if gone.count() * 24 <= 64 << 20:
-        marks = F.broadcast(marks)
-    joined = docs.join(marks, docs.doc_id.cast("bigint").eqNullSafe(F.col("_id")) & (key == F.col("_xx")), "left")
+    joined = docs.join(small(marks), docs.doc_id.cast("bigint").eqNullSafe(F.col("_id")) & (key == F.col("_xx")), "left")
     once = joined.filter("_kept").dropDuplicates(["_id", "_xx"])
     return joined.filter("_xx is null").unionByName(once).select(*docs.columns)

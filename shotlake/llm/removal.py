@@ -1,8 +1,8 @@
 """What window dedup operators share: anchor runs of all texts, and cutting spans out of texts.
 
 Documents are addressed by ``rid``, given once when the features are written;
-texts are found again by ``(doc_id, xxhash64(text))``, so null or repeated ids and
-repeated rows are no problem.
+texts are found again by ``(doc_id, xxhash64(text))``, so null or repeated ids are no
+problem.  Rows that repeat both are one document of weight ``w`` until the end.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, small, text_or_empty, utf8
+from .common import arrow_map, lookup, materialize, small, text_or_empty, utf8
 from .windows import BYTE_CODES, chunks, merged, runs, word_codes, words_of
 
 #: Bytes of text that are worked on at once (a longer text stands alone).
@@ -44,7 +44,7 @@ def _units(data: list[bytes], unit: str):
 
 
 def features(docs: DataFrame, unit: str, length: int, gram: int) -> DataFrame:
-    """One row per document: rid, doc_id, xx, n (units), sha (of the whole text), runs."""
+    """One row per different document: rid, doc_id, xx, w (rows), n (units), sha (of the whole text), runs."""
 
     def of(batch: pa.RecordBatch) -> dict:
         data = utf8(batch)
@@ -69,12 +69,28 @@ def features(docs: DataFrame, unit: str, length: int, gram: int) -> DataFrame:
         return {"doc_id": batch.column("doc_id"), "xx": batch.column("xx"), "n": np.concatenate(n), "sha": sha, "runs": listed}
 
     found = arrow_map(texts(docs), of, f"doc_id bigint, xx bigint, n bigint, sha string, runs {RUNS}")
-    return materialize(found.withColumn("rid", F.monotonically_increasing_id()), f"{unit}-runs")
+    return _once(materialize(found.withColumn("rid", F.monotonically_increasing_id()), f"{unit}-runs"))
 
 
-def fetch(docs: DataFrame, want: DataFrame, rows: int, width: int) -> DataFrame:
-    """``want`` (with doc_id and xx) with the texts; ``rows`` * ``width`` bytes decide on a broadcast."""
-    want = small(want.withColumnsRenamed({"doc_id": "_id", "xx": "_xx"}), rows, width)
+def _once(found: DataFrame) -> DataFrame:
+    """The first of the rows that repeat doc_id and text, with their number ``w``."""
+    key = ["id", "none", "xx"]
+    keyed = found.select("rid", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "xx")
+    again = materialize(keyed.groupBy(*key).agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1"), "repeated-rows")
+    if again.isEmpty():
+        return found.withColumn("w", F.lit(1).cast("bigint"))
+    others = materialize(lookup(keyed, again, key, "n").filter("rid <> first").select("rid"), "repeated-rids")
+    weights = again.select(F.col("first").alias("rid"), F.col("n").alias("w"))
+    once = found.join(small(others), "rid", "left_anti").join(small(weights), "rid", "left")
+    return materialize(once.withColumn("w", F.coalesce("w", F.lit(1).cast("bigint"))), "different-runs")
+
+
+def fetch(docs: DataFrame, want: DataFrame) -> DataFrame:
+    """``want`` (with doc_id and xx, materialised) with the texts; its bytes decide on a broadcast.
+
+    Repeated rows of ``docs`` give the text as often, so ``want`` should have a (doc_id, xx) once.
+    """
+    want = small(want.withColumnsRenamed({"doc_id": "_id", "xx": "_xx"}))
     found = texts(docs)
     return found.join(want, found.doc_id.eqNullSafe(F.col("_id")) & (found.xx == F.col("_xx"))).drop("_id", "_xx")
 
@@ -113,15 +129,14 @@ def remove(docs: DataFrame, found: DataFrame, ranges: DataFrame, unit: str) -> D
     """
     gathered = ranges.groupBy("rid").agg(F.collect_list(F.struct(F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"))).alias("ranges"))
     spans = arrow_map(gathered, _cover, f"rid bigint, spans {SPANS}, n_removed bigint")
-    state = found.select("rid", "doc_id", "xx", "n", "sha").join(spans, "rid", "left")
+    state = found.select("rid", "doc_id", "xx", "w", "n", "sha").join(spans, "rid", "left")
     state = materialize(state.withColumn("n_removed", F.coalesce("n_removed", F.lit(0))), f"{unit}-state")
     part = (F.col("n_removed") > 0) & (F.col("n_removed") < F.col("n"))
     of_rest = F.when(F.col("n_removed") == 0, F.col("sha")).otherwise(F.lit(_NOTHING))
     rest = state.filter(~part).withColumn("kept_sha256", of_rest)
     torn = state.filter(part)
-    rows, width = torn.agg(F.count("*"), F.coalesce(F.sum(32 + 16 * F.size("spans")), F.lit(0))).first()
-    text = fetch(docs, torn, 1, width if rows else 0)
-    columns = ["rid", "doc_id", "xx", "n", "n_removed", "spans"]
+    columns = ["rid", "doc_id", "xx", "w", "n", "n_removed", "spans"]
+    text = fetch(docs, torn.select(*columns))
 
     def digest(batch: pa.RecordBatch) -> dict:
         sha = []
@@ -130,9 +145,10 @@ def remove(docs: DataFrame, found: DataFrame, ranges: DataFrame, unit: str) -> D
             sha.append(hashlib.sha256(cut(data, unit, s, e)).hexdigest())
         return {k: batch.column(k) for k in columns} | {"kept_sha256": sha}
 
-    torn = arrow_map(text.select(*columns, "text"), digest, f"rid bigint, doc_id bigint, xx bigint, n bigint, n_removed bigint, spans {SPANS}, kept_sha256 string")
+    torn = arrow_map(text.select(*columns, "text"), digest, f"rid bigint, doc_id bigint, xx bigint, w bigint, n bigint, n_removed bigint, spans {SPANS}, kept_sha256 string")
     out = rest.select(*columns, "kept_sha256").unionByName(torn.dropDuplicates(["rid"]))
-    return out.withColumn("spans", F.coalesce("spans", F.array().cast(SPANS))).drop("rid")
+    out = out.withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+    return out.withColumn("w", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int")))).drop("rid", "w")
 
 
 def cleaned(docs: DataFrame, result: DataFrame, unit: str) -> DataFrame:
@@ -157,10 +173,10 @@ def cleaned(docs: DataFrame, result: DataFrame, unit: str) -> DataFrame:
 
 
 def shared_runs(found: DataFrame, doc: Column | None = None) -> DataFrame:
-    """The runs as rows: rid, g, c, s, m, a (and doc)."""
-    columns = ["rid", F.explode("runs").alias("r")] + ([doc.alias("doc")] if doc is not None else [])
+    """The runs as rows: rid, w, g, c, s, m, a (and doc)."""
+    columns = ["rid", "w", F.explode("runs").alias("r")] + ([doc.alias("doc")] if doc is not None else [])
     rest = ["doc"] if doc is not None else []
-    return found.select(*columns).select("rid", "r.*", *rest)
+    return found.select(*columns).select("rid", "w", "r.*", *rest)
 
 
 def spans_in(batch: pa.RecordBatch, unit: str, each: Callable[[bytes, int, np.ndarray, np.ndarray, dict], None]) -> None:

@@ -66,7 +66,6 @@ def _repeated(docs: DataFrame, found: DataFrame, anchors: DataFrame, index: Data
     # the first document of a class may still share windows with runs that differ elsewhere
     edges = hits.filter("doc = first and k > 1").groupBy("rid", "doc").agg(F.collect_list(F.struct("s", "m")).alias("work"))
     edges = materialize(edges.join(found.select("rid", "doc_id", "xx"), "rid"), "edges")
-    rows, width = edges.agg(F.count("*"), F.coalesce(F.sum(40 + 8 * F.size("work")), F.lit(0))).first()
 
     def hashes(batch: pa.RecordBatch) -> dict:
         out: list[list[np.ndarray]] = [[], [], [], [], []]
@@ -81,7 +80,7 @@ def _repeated(docs: DataFrame, found: DataFrame, anchors: DataFrame, index: Data
                 column.append(values)
         return dict(zip(("w", "v", "s", "rid", "doc"), (np.concatenate(x).astype(np.int64) for x in out)))
 
-    windows = arrow_map(fetch(docs, edges, 1, width).select("text", "rid", "doc", "work"), hashes, "w bigint, v bigint, s bigint, rid bigint, doc bigint")
+    windows = arrow_map(fetch(docs, edges).select("text", "rid", "doc", "work"), hashes, "w bigint, v bigint, s bigint, rid bigint, doc bigint")
     windows = materialize(windows, "edge-windows")
     owners = windows.groupBy("w", "v").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
     owners = materialize(owners.filter("first < last").drop("last"), "edge-owners")

@@ -147,12 +147,14 @@ def _wide(spans: DataFrame, length: int) -> DataFrame:
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
     """One row per document: doc_id, xx, n (bytes), n_removed, spans (of bytes), kept_sha256.
 
-    Null texts count as empty; equal rows are different documents.
+    Null texts count as empty; equal rows are different documents, so that their
+    strings stand twice.  An empty table gives an empty one; a text of any length is
+    worked on whole.
     """
     found = features(docs, "byte", length, gram)
     runs = shared_runs(found)
     first = [F.first(k).alias(k) for k in ("rid", "s", "m", "a")]
-    classes = materialize(runs.groupBy("g", "c").agg(F.count("*").alias("n"), *first), "byte-classes")
+    classes = materialize(runs.groupBy("g", "c").agg(F.sum("w").alias("n"), *first), "byte-classes")
     groups = classes.groupBy("g").agg(F.count("*").alias("k"), F.sum("n").alias("all"), F.min("n").alias("least")).filter("all > 1")
     groups = materialize(groups.drop("all"), "byte-groups")
     shared = materialize(lookup(classes, groups, ["g"], "k"), "byte-shared")
@@ -163,8 +165,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide:
     todo = shared.filter("k > 1 and least = 1").select("rid", F.struct("g", "s", "m", "a", F.least("n", F.lit(2)).cast("int").alias("weight"), (F.col("k") > wide).alias("wide")).alias("w"))
     todo = todo.groupBy("rid").agg(F.collect_list("w").alias("work")).join(found.select("rid", "doc_id", "xx"), "rid")
     todo = materialize(todo, "byte-todo")
-    rows, width = todo.agg(F.count("*"), F.coalesce(F.sum(32 + 24 * F.size("work")), F.lit(0))).first()
-    spans = arrow_map(fetch(docs, todo, 1, width).select("text", "rid", "work"), _spans(length), "g bigint, rid bigint, s bigint, m int, a int, weight int, wide boolean, span binary")
+    spans = arrow_map(fetch(docs, todo).select("text", "rid", "work"), _spans(length), "g bigint, rid bigint, s bigint, m int, a int, weight int, wide boolean, span binary")
     spans = materialize(spans, "byte-spans")
     narrow = spans.filter("not wide").select("g", "rid", "s", "weight", "span").dropDuplicates(["rid", "s"])
     narrow = narrow.repartition("g").sortWithinPartitions("g", "rid", "s")

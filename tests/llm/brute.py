@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -100,3 +101,19 @@ def pii(text):
     found = {k: [m.span() for m in re.finditer(p, text or "") if holds(k, m[0])] for k, p in KINDS.items()}
     joined = ",".join(f"{k}:{a}:{b}" for k in KINDS for a, b in found[k])
     return (*[len(found[k]) for k in KINDS], joined)
+
+
+def generalised(text, spans):
+    """The text with its spans (as joined) in brackets; those that overlap go as one, under the first one's kind."""
+    out, reach = [], 0
+    for a, b, kind in sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in spans.split(",") if x)):
+        if a >= reach:
+            out += [text[reach:a], f"[{kind.upper()}]"]
+        reach = max(reach, b)
+    return "".join(out) + text[reach:]
+
+
+def bits(value):
+    """Information content: the length times the entropy of the characters."""
+    n = len(value)
+    return -sum(c * math.log2(c / n) for c in Counter(value).values())

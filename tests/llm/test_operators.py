@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shotlake.llm import bpe, bwt, exact_dedup, golomb, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity, windows
+from shotlake.llm import bpe, bwt, common, exact_dedup, golomb, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity, windows
 
 RANKS, JSON, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 key = lambda row: tuple((x is None, str(x)) for x in row)
@@ -112,6 +112,32 @@ def test_pii(docs, empty):
     assert pii.sanitise(empty).count() == 0
 
 
+def test_pii_edges(spark):
+    r = random.Random(4)
+    ips = ["10.0.0.1", "192.168.0.12", "0.0.0.0", "256.1.1.1", "1.2.3.256", "000.000.000.000", "01.002.0003.0", "255.255.255.255", "1.2.3", "1.2.3.4.5.6.7.8", "10.0.0.10.0"]
+    rows = [(i, f"see {x} and é😀 a@b.co {x}, \\E") for i, x in enumerate(ips)]
+    rows += [(50 + i, f"Line {i} of Zor\\Eblatt, card 4111 1111 1111 1111, he\nmore") for i in range(12)] + [(80 + i, "Nothing of note" + " on" * i) for i in range(60)]
+    keys = ["9c8b45435718dcc700c184a7e303cdc64c6a8f7f", "a1" * 15, "Ab3dE5gH1jK2mN4pQ6rS", "a-1" + "b" * 30]
+    rows += [(200, None), (201, ""), (202, "key " + " ok ".join(keys)), (203, "a@b.co_x@d.e +1 (212) 555-0100 10.0.0.1")]
+    rows += [(300, "".join(r.choice(["é word ", "10.0.0.1 ", f"mail {r.randrange(99)}@x.de ", "\n", "+49 30 123456 "]) for _ in range(9000)))]  # several blocks of spans and cuts
+    rows += [(301, rows[3][1]), (301, rows[3][1])]
+    got = pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    texts = dict(rows)
+    for x in got:
+        text = texts[x.doc_id]
+        assert (x.n_email, x.n_ip, x.n_card, x.n_phone, x.base_spans) == brute.pii(text)
+        assert x.clean_text == (None if text is None else brute.generalised(text, x.spans))
+        assert ("term:" in x.spans) == (50 <= x.doc_id < 62)
+    secrets = next(x.spans for x in got if x.doc_id == 202).count("secret:")
+    assert len(got) == len(rows) and secrets == sum(brute.bits(k) >= pii.SECRET_BITS for k in keys) == 2
+
+
+def test_broadcasts_are_measured(spark, docs):
+    rows = spark.createDataFrame([("x" * 1000, [1, 2], [("y", 1)])] * 10, "a string, b array<bigint>, c array<struct<k:string,v:int>>")
+    assert 10_000 < common.measured_bytes(rows) < 14_000
+    assert not common.fits(rows, 9000) and common.measured_bytes(rows.limit(0)) == 0
+
+
 def test_disclosing_terms(spark):
     rows = [(i, f"Line {i} of Zorblatt, card 4111 1111 1111 1111, he said.\nmore text") for i in range(8)] + [(50 + i, "Nothing of note was said here") for i in range(20)]
     got = pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
