@@ -1,8 +1,9 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import brute
 import numpy as np
@@ -185,31 +186,64 @@ def test_prefixes(data, new, a, b):
     assert p.tokens() == bpe.Prefixes(v, data[:start] + new + data[end:]).tokens()
 
 
-def test_packing(docs, empty):
-    from tokenizers import Tokenizer
-
-    tool = Tokenizer.from_file(JSON)
-    tool.encode_special_tokens = True
-    rows = packing.pack(docs.filter("doc_id is not null and doc_id <> 203"), JSON, PATTERN).collect()
-    pieces, bins = defaultdict(dict), defaultdict(list)
+def packed(rows, docs, tool):
+    """Checks the pieces and sequences of ``docs`` (id, text); gives the sequences' sizes."""
+    pieces, bins, want = defaultdict(list), defaultdict(list), defaultdict(list)
     for r in rows:
-        pieces[r.doc_id][r.piece] = r
+        pieces[r.doc_id].append(r)
         bins[r.sequence_id].append((r.offset, r.length))
-    for i, t in DOCS:
-        if i not in (None, 203):
-            ids = tool.encode(t or "", add_special_tokens=False).ids + [2]
-            got = [pieces[i][k] for k in range(len(pieces[i]))]
-            assert b"".join(r.ids for r in got) == np.array(ids, "<u4").tobytes()
-            assert all(r.length == 1024 for r in got[1:]) and all(zlib.crc32(r.ids) == r.ids_crc32 for r in got)
+        assert zlib.crc32(r.ids) == r.ids_crc32 and r.length == len(r.ids) // 4
+    for i, t in docs:
+        ids = np.array(tool.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()
+        first = len(ids) // 4 - (len(ids) // 4 - 1) // 1024 * 1024
+        cuts = [0, first, *range(first + 1024, len(ids) // 4 + 1, 1024)]
+        want[i] += [(k, a, ids[4 * a : 4 * b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert {i: sorted(x) for i, x in want.items()} == {i: sorted((r.piece, r.start, r.ids) for r in x) for i, x in pieces.items()}
     for members in bins.values():
         at = 0
         for offset, length in sorted(members):
             assert offset == at
             at += length
         assert at <= 1024
+    return [sum(n for _, n in members) for members in bins.values()]
+
+
+def test_packing(spark, docs, empty):
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(JSON)
+    packed(packing.pack(docs, JSON, PATTERN).collect(), DOCS, tool)
+    r = random.Random(8)
+    some = [(i % 250, None if i % 60 == 7 else "ab " * r.choice([0, 3, 200, 340, 350, 480, 700, 2500]) + "x<|endoftext|> y" * (i % 3)) for i in range(260)]
+    spread = spark.createDataFrame(some, "doc_id bigint, text string").repartition(11)
+    rows = packing.pack(spread, JSON, PATTERN, fan=2, slices=3).collect()
+    sizes = packed(rows, some, tool)
+    assert {x.sequence_id >> 58 for x in rows} >= {0, 4}  # bins went through four rounds of merging
+    assert len(sizes) <= 1.02 * len(packing.best_fit([x.length for x in rows], 1024)) + 1
     assert packing.pack(empty, JSON, PATTERN).count() == 0
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", " ", "  \n", "a", "é", "12", "'ll", "\u2028", "日本", "."]), max_size=12).map("".join))
+def test_token_ids(text):
+    assert packing.token_bytes([text], JSON, PATTERN)[0] == np.array(tokenizer().encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@functools.cache
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(JSON)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=80))
+def test_fit_counts(sizes):
+    kinds = packing.fit_counts(Counter(sizes), 40)
+    assert Counter({s: sum(n * t for kind, n in kinds for x, t in kind if x == s) for s in set(sizes)}) == Counter(sizes)
+    assert sorted(sum(s * t for s, t in kind) for kind, n in kinds for _ in range(n)) == sorted(sum(sizes[i] for i in b) for b in packing.best_fit(sizes, 40))
+
+
 def test_best_fit():
     assert sorted(map(sorted, packing.best_fit([5, 4, 3, 3, 3, 2], 10))) == [[0, 1], [2, 3, 4]] + [[5]] or len(packing.best_fit([5, 4, 3, 3, 3, 2], 10)) == 2
     sizes = [random.Random(1).randrange(1, 100) for _ in range(300)]
