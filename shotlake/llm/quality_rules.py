@@ -4,7 +4,8 @@ Each line is judged alone: a navigation line (fields between bars), a boilerplat
 line (licence and site phrases), a line without words or without sentence
 punctuation whose signs, capitals or length are not those of prose, and a line
 that an earlier one equals are removed.  A document that loses more than
-``MOST_LOST`` of its word characters, or that fails a base rule, is rejected.
+``MOST_LOST`` of its word characters, repeated lines included, or that fails a base
+rule, is rejected.
 """
 
 from __future__ import annotations
@@ -22,16 +23,36 @@ SIGNS = "#*$%&|<>"
 MOST_LOST = 0.5
 LEAST_WORDS = 50
 MOST_REPEATED = 50
-#: Phrases of lines that are no text of the document itself.
+#: Phrases of lines that are no text of the document itself, in the languages of the corpus.
 BOILERPLATE = (
     "all rights reserved",
     "released under the",
+    "licensed under",
     "terms of service",
+    "terms and conditions",
     "privacy policy",
     "cookie policy",
     "copyright (c)",
     "sign up for",
     "click here",
+    "todos los derechos reservados",
+    "bajo licencia",
+    "política de privacidad",
+    "política de cookies",
+    "términos y condiciones",
+    "haga clic aquí",
+    "tous droits réservés",
+    "sous licence",
+    "politique de confidentialité",
+    "politique de cookies",
+    "conditions générales",
+    "cliquez ici",
+    "alle rechte vorbehalten",
+    "lizenziert unter",
+    "datenschutzerklärung",
+    "cookie-richtlinie",
+    "allgemeine geschäftsbedingungen",
+    "klicken sie hier",
 )
 
 
@@ -56,25 +77,22 @@ def _signs(text: Column, signs: str) -> Column:
 def _with_repeated_words(base: DataFrame) -> DataFrame:
     """Add _n_repeat_words: words in 3-word windows that stand twice or more.
 
-    Where not all windows' hashes differ, a hash and, in the low bits, its place
-    make one number; in their sorted order equal windows are neighbours.
+    Where not all windows' hashes differ, they are sorted with their places; of
+    neighbours with equal hashes the words are compared, so that a text of any length
+    is counted right.
     """
     n = F.size("_words")
     window = lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2))
     base = base.withColumn("_hashes", F.when(n >= 4, F.transform(F.sequence(F.lit(0), n - 3), window)))
-    base = base.withColumn("_bits", F.ceil(F.log2(n + F.lit(1))).cast("int"))
-    bits = F.col("_bits")
-    right, left = (lambda x: F.call_function("shiftright", x, bits)), (lambda x: F.call_function("shiftleft", x, bits))
-    key = lambda x, i: left(right(x)).bitwiseOR(i.cast("bigint"))
-    base = base.withColumn("_keys", F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), F.sort_array(F.transform("_hashes", key))))
-    same = F.zip_with("_keys", F.slice("_keys", F.lit(2), F.size("_keys")), lambda a, b: right(a.bitwiseXOR(b)) == 0)
+    placed = F.sort_array(F.transform("_hashes", lambda x, i: F.struct(x.alias("hash"), i.alias("i"))))
+    base = base.withColumn("_keys", F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), placed))
+    alike = lambda a, b, k: F.get("_words", a["i"] + k) == F.get("_words", b["i"] + k)
+    same = F.zip_with("_keys", F.slice("_keys", F.lit(2), F.size("_keys")), lambda a, b: (a["hash"] == b["hash"]) & alike(a, b, 0) & alike(a, b, 1) & alike(a, b, 2))
     base = base.withColumn("_same", same)
-    mask = left(F.lit(1).cast("bigint")) - 1
     no = F.lit(False)
     twice = F.filter("_keys", lambda x, i: F.coalesce(F.get("_same", i), no) | F.coalesce(F.get("_same", i - 1), no))
-    base = base.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask))))
-    three = F.lit(3).cast("bigint")
-    widths = F.transform("_starts", lambda x, i: F.least(three, F.coalesce(F.get("_starts", i + 1) - x, three)))
+    base = base.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x["i"])))
+    widths = F.transform("_starts", lambda x, i: F.least(F.lit(3), F.coalesce(F.get("_starts", i + 1) - x, F.lit(3))))
     covered = F.aggregate(widths, F.lit(0).cast("bigint"), lambda a, b: a + b)
     return base.withColumn("_n_repeat_words", F.coalesce(covered, F.lit(0).cast("bigint")))
 
@@ -108,15 +126,14 @@ def passes(x: Column) -> Column:
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost, cleaned_text.
 
-    A null text counts as empty and fails for want of words.  Columns of ``docs``
-    with one of these names are replaced.
+    A null text counts as empty and fails for want of words.  Repeated rows are judged
+    alike, each by itself; an empty table gives an empty one.  Columns of ``docs`` with
+    one of these names are replaced.
     """
     base = measured(docs)
-    # a repeated line counts once on either side: what is lost is measured against the different lines
-    left, different = (F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x["size"]) for c in ("_kept_lines", "_judged"))
-    base = base.withColumn("_left", left).withColumn("_all", different)
+    base = base.withColumn("_left", F.aggregate("_kept_lines", F.lit(0).cast("bigint"), lambda a, x: a + x["size"]))
     failed = (F.col("_n_words") < LEAST_WORDS) | (F.col("_n_repeat_words") * 100 > F.col("_n_words") * MOST_REPEATED)
-    base = base.withColumn("_lost", F.when(F.col("_all") > 0, 1 - F.col("_left") / F.col("_all")).otherwise(F.lit(0.0)))
+    base = base.withColumn("_lost", F.when(F.col("_word_chars") > 0, 1 - F.col("_left") / F.col("_word_chars")).otherwise(F.lit(0.0)))
     out = {k: F.col(f"_{k}") for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost")}
     out |= {"base_failed": failed, "kept": ~failed & (F.col("_lost") <= MOST_LOST), "cleaned_text": F.concat_ws("\n", F.transform("_kept_lines", lambda x: x["line"]))}
     return base.select(*[F.col(c) for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
@@ -138,18 +155,16 @@ g as (select doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] a
 r as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, k) as c from g) where c > 1),
 c as (select doc_id, count(*) as n from (select distinct doc_id, i + unnest([0, 1, 2]) as j from r) group by doc_id),
 l as (select doc_id, x, words, lines, list_distinct(lines) as different from w),
-v as (select *, list_transform(different, lambda y: translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) as solid from l),
 m as (select *, list_filter(different, lambda y: not (
   (length(y) - length(translate(y, '|', '')) >= 3 or (length(y) - length(translate(y, '|', '')) >= 1 and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 80))
   or (regexp_matches(lower(y), '{phrases}') and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 200)
   or (length(y) - length(translate(y, '#*$%&|<>!', ''))) * 20 > length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))
   or (length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) >= 20 and not regexp_matches(y, '\p{Ll}') and regexp_matches(y, '\p{Lu}'))
-  or (not regexp_matches(rtrim(y, ' '), '[.!?:;"''»”)]$') and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 20))) as good from v),
+  or (not regexp_matches(rtrim(y, ' '), '[.!?:;"''»”)]$') and length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) < 20))) as good from l),
 q as (select m.doc_id, len(words)::bigint as n_words, length(translate(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::bigint as word_chars,
   (length(x) - length(translate(x, '#*$%&|<>', '')))::bigint as n_symbols, (len(lines) - len(different))::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words,
-  coalesce(list_sum(list_transform(good, lambda y: length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')))), 0) as left_over,
-  coalesce(list_sum(list_transform(solid, lambda y: length(y))), 0) as all_of
+  coalesce(list_sum(list_transform(good, lambda y: length(translate(y, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')))), 0) as left_over
   from m left join c on c.doc_id = m.doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and (all_of = 0 or 1 - left_over / all_of <= 0.5) as kept from q
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and (word_chars = 0 or 1 - left_over / word_chars <= 0.5) as kept from q
 """.replace("{phrases}", "|".join(re.escape(p) for p in BOILERPLATE))

@@ -7,6 +7,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import regex
+
 sha = lambda b: hashlib.sha256(b).hexdigest()
 words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
 
@@ -85,6 +87,23 @@ def rules(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(inside), failed
 
 
+def cleaned(text, phrases):
+    """What the line rules leave of a text, and whether the document is kept."""
+    t = text or ""
+    size = lambda x: sum(map(len, words(x)))
+    left = []
+    for x in dict.fromkeys(y for y in t.split("\n") if words(y)):
+        bars, signs, n = x.count("|"), len(re.findall(r"[#*$%&|<>!]", x)), size(x)
+        navigation = bars >= 3 or (bars and n < 80)
+        boilerplate = n < 200 and any(p in x.lower() for p in phrases)
+        shouting = n >= 20 and not regex.search(r"\p{Ll}", x) and regex.search(r"\p{Lu}", x)
+        bare = n < 20 and not re.search("[.!?:;\"'»”)]$", x.rstrip(" "))
+        if not (navigation or boilerplate or signs * 20 > n or shouting or bare):
+            left.append(x)
+    lost = 1 - sum(map(size, left)) / size(t) if size(t) else 0
+    return "\n".join(left), not rules(t)[-1] and lost <= 0.5
+
+
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 

@@ -105,6 +105,27 @@ def test_rules(docs, empty):
     assert quality_rules.quality_rules(empty).count() == 0
 
 
+def test_lines(spark):
+    r = random.Random(6)
+    prose = lambda n: " ".join(r.choice(["Some", "words", "of", "a", "sentence", "été", "größer", "77"]) + r.choice(["", "", "x", "yy"]) + str(r.randrange(999)) for _ in range(n)) + "."
+    odd = ["Home | News | Sport | More", "Alle Rechte vorbehalten.", "TODOS LOS DERECHOS RESERVADOS", "Sous licence X.", "short", "ok.", "%%%% <<< >>>", "A LOUD LINE OF CAPITALS ONLY", "  ", "one | two", "“Quoted”"]
+    rows = [(i, "\n".join(r.choice([prose(r.randrange(3, 40)), r.choice(odd)]) for _ in range(r.randrange(1, 30)))) for i in range(60)]
+    rows += [(90, "\n".join([prose(30)] * 20)), (91, "\n".join([prose(70)] + odd)), (92, None), (93, ""), (94, "\n".join(odd)), (91, "\n".join([prose(70)] * 2))]
+    got = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "cleaned_text", "kept").collect()
+    assert same(got, [(i, *brute.cleaned(t, quality_rules.BOILERPLATE)) for i, t in rows])
+    assert not any(x.kept for x in got if x.doc_id == 90)  # nearly all of it is one line again and again
+    assert {x.doc_id for x in quality_rules.accepted(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == {x.doc_id for x in got if x.kept}
+
+
+def test_repeated_words_of_long_texts(spark):
+    r = random.Random(9)
+    long = [f"{r.randrange(1 << 40):x}" for _ in range(400_000)]
+    long[300_000:300_005] = long[7:12]
+    rows = [(1, " ".join(long)), (2, "a b c d a b c\te")]
+    got = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
+    assert same(got, [(i, *brute.rules(t)) for i, t in rows])
+
+
 def test_pii(docs, empty):
     got = pii.sanitise(docs).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_spans").collect()
     assert same(got, [(i, *brute.pii(t)) for i, t in DOCS])
