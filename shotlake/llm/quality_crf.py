@@ -159,7 +159,8 @@ def scores(data: list[bytes], model: dict) -> np.ndarray:
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.3).
 
-    Null texts are scored as empty ones.
+    Null texts are scored as empty ones, repeated rows alike; an empty table gives an
+    empty one.  Without labelled rows of both classes every score is their mean, or 0.5.
     """
     model = fit(sample(docs, labels, "quality"))
 

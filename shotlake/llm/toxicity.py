@@ -3,8 +3,9 @@
 The lexicon is learned from labelled documents: words that toxic ones have far
 more often.  A walk through its trie that counts edits, made deterministic, is one
 automaton for all terms within their edit distance; it runs over all words of a
-batch side by side.  Each hit is weighed by its context: quotation marks around
-it and speech verbs before it speak for quotation, address and repetition for abuse.
+batch side by side.  Each hit is scored in its context: quotation marks around it
+and speech verbs before it tell quotation, address and repetition tell abuse; how
+much each counts is learned from the labels.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ from .learning import held_out, logistic, sample, sigmoid
 from .windows import chunks
 
 THRESHOLD = 0.5
-#: Terms that the lexicon holds at most; the most frequent stay.
-TERMS = 128
 #: How many times as common in toxic documents, and in which share of them (and how many), a term has to be.
 LIFT = 20.0
 SHARE = 0.006
@@ -31,9 +30,20 @@ LEAST = 4
 CONTEXT = 48
 CHUNK = 1 << 20
 _WORD = re.compile(r"[^\W\d_]{3,24}")
-_QUOTED = re.compile(rb"(?:said|says|wrote|called|quote[ds]?|word|term)\W*$|[\"'\xab\x93]$|\xe2\x80[\x9c\x98\x9e]$")
+#: Verbs and nouns that announce a quotation, and words of address, in the languages of the corpus.
+SPEECH = ("said", "says", "wrote", "called", "quote", "quoted", "quotes", "word", "term", "dijo", "dice", "escribió", "llamó", "palabra", "término", "dit", "écrit", "écrivit", "appelé", "mot", "terme", "sagt", "sagte", "schrieb", "nannte", "wort", "begriff")
+ADDRESS = ("you", "your", "you're", "u", "tú", "usted", "ustedes", "vous", "toi", "dich", "dir", "euch")
+#: The features that count unquoted hits.
+UNQUOTED = np.array([True, True, False, False, True])
+
+
+def _any_of(words: tuple[str, ...]) -> bytes:
+    return rb"(?<![a-z\x80-\xff])(?:" + "|".join(map(re.escape, words)).encode() + rb")(?![a-z\x80-\xff])"
+
+
+_QUOTED = re.compile(_any_of(SPEECH) + rb"[^a-z0-9\x80-\xff]*$|[\"'\xab\x93]$|\xe2\x80[\x9c\x98\x9e]$")
 _CLOSED = re.compile(rb"^[.,!?]?(?:[\"'\xbb]|\xe2\x80[\x9d\x99])")
-_ADDRESS = re.compile(rb"(?i)\b(?:you|your|you're|u)\b")
+_ADDRESS = re.compile(_any_of(ADDRESS))
 
 
 def most_edits(term: str) -> int:
@@ -51,7 +61,7 @@ def lexicon(rows: list[tuple[str, int]]) -> dict[str, int]:
         return (with_toxic / max(n[1], 1)) / ((with_other + 0.5) / max(n[0], 1))
 
     least = max(LEAST, SHARE * n[1])
-    strong = sorted((w for w, c in toxic.items() if c >= least and lift(c, other[w]) >= LIFT), key=lambda w: (-toxic[w], w))[:TERMS]
+    strong = sorted((w for w, c in toxic.items() if c >= least and lift(c, other[w]) >= LIFT), key=lambda w: (-toxic[w], w))
     words = sorted(toxic.keys() | other.keys())
     raw = np.frombuffer(" ".join([*words, ""]).encode(), np.uint8)
     end = np.flatnonzero(raw == 32)
@@ -165,30 +175,24 @@ class Automaton:
 
 _SOLID = np.zeros(256, bool)
 _SOLID[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
-def lowered(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 in lower case (ASCII and Latin-1 letters), and which bytes are letters or digits (or parts of one)."""
-    low, solid = _LOWER[raw], _SOLID[raw]
-    lead = np.flatnonzero(raw[:-1] == 0xC3) + 1
-    big = lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E) & (raw[lead] != 0x97)]
-    low[big] += 32
+def solid_bytes(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 are letters or digits, or parts of one."""
+    solid = _SOLID[raw]
     sign = np.flatnonzero(raw[:-1] == 0xC2)  # Latin-1 signs
     solid[sign] = solid[sign + 1] = False
     sign = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x80))  # general punctuation
     for i in range(3):
         solid[sign + i] = False
-    return low, solid
+    return solid
 
 
 def hits_of(joined: bytes, automaton: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and edits of the words (letters, digits, and signs between them) that match."""
+    """Starts, ends and edits of the words (letters, digits, and signs between them) that match, in a text in lower case."""
     raw = np.frombuffer(joined, np.uint8)
     blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    raw, letters = lowered(raw)
-    solid = np.flatnonzero(letters)
+    solid = np.flatnonzero(solid_bytes(raw))
     if not len(solid):
         none = np.zeros(0, np.int64)
         return none, none, none
@@ -211,10 +215,13 @@ def hits_of(joined: bytes, automaton: Automaton) -> tuple[np.ndarray, np.ndarray
 
 
 def features_of(data: list[bytes], automaton: Automaton) -> np.ndarray:
-    """Per text: exact, misspelled and quoted hits, hits with address, hits per 100 words (all damped)."""
+    """Per text: exact, misspelled and quoted hits, hits with address, hits per 100 words (all damped).
+
+    Texts are compared in lower case, as the lexicon is, by the rules of Unicode.
+    """
     out = np.zeros((len(data), 5))
     for piece in chunks([len(x) for x in data], CHUNK):
-        some = data[piece]
+        some = [x.decode("utf-8", "replace").lower().encode() for x in data[piece]]
         joined = b"\n".join(some)
         at, end, edits = hits_of(joined, automaton)
         if not len(at):
@@ -242,10 +249,22 @@ def fit(rows: list[tuple[str, int]]) -> dict:
         return {"constant": float(labels.mean()) if len(labels) else 0.0}
     automaton = Automaton(terms)
     x = features_of([t.encode() for t, _ in rows], automaton)
-    # hardly any misspelled, quoted or addressed hits may be labelled: a prior case of each, seen ten times
-    prior_x = np.log1p(np.array([[1, 0, 0, 0, 0.5], [0, 1, 0, 0, 0.5], [0, 0, 2, 0, 0], [1, 0, 0, 1, 0.5], [0, 0, 0, 0, 0]], float))
-    x, y = np.concatenate([x, np.repeat(prior_x, 10, axis=0)]), np.concatenate([labels, np.repeat([1.0, 1.0, 0.0, 1.0, 0.0], 10)])
-    return {"terms": terms, "automaton": automaton, "w": logistic(x, y)}
+    return {"terms": terms, "automaton": automaton, "w": weights(x, labels)}
+
+
+def weights(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Learned weights of the features; none of unquoted hits is negative, as a hit is no sign of a clean text.
+
+    Those of the context (quotation, address) are what the labels say; without labelled cases they are 0.
+    """
+    use = np.ones(x.shape[1], bool)
+    while True:
+        w = np.zeros(x.shape[1] + 1)
+        w[np.append(use, True)] = logistic(x[:, use], labels)
+        wrong = (w[:-1] < 0) & UNQUOTED
+        if not wrong.any():
+            return w
+        use &= ~wrong
 
 
 def scores(data: list[bytes], model: dict) -> np.ndarray:
@@ -257,7 +276,8 @@ def scores(data: list[bytes], model: dict) -> np.ndarray:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.5).
 
-    Null texts are scored as empty ones.
+    Null texts are scored as empty ones, repeated rows alike; an empty table gives an
+    empty one.  Without labelled rows of both classes every score is their mean, or 0.
     """
     model = fit(sample(docs, labels, "toxic"))
 

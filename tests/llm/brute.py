@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import regex
 
 sha = lambda b: hashlib.sha256(b).hexdigest()
@@ -104,6 +106,31 @@ def cleaned(text, phrases):
     return "\n".join(left), not rules(t)[-1] and lost <= 0.5
 
 
+def distance(a, b):
+    """Levenshtein distance."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def marginals(scores, change):
+    """Probabilities of the states of a chain, and expected transitions, from all its paths."""
+    n, k = scores.shape
+    paths = list(itertools.product(range(k), repeat=n))
+    weight = np.exp([sum(scores[t, s] for t, s in enumerate(p)) + sum(change[a, b] for a, b in zip(p, p[1:])) for p in paths])
+    weight /= weight.sum()
+    states, moves = np.zeros((n, k)), np.zeros((k, k))
+    for p, w in zip(paths, weight):
+        for t, s in enumerate(p):
+            states[t, s] += w
+        for a, b in zip(p, p[1:]):
+            moves[a, b] += w
+    return states, moves
+
+
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 

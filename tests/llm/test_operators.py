@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shotlake.llm import bpe, bwt, common, exact_dedup, golomb, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity, windows
+from shotlake.llm import bpe, bwt, common, exact_dedup, golomb, learning, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity, windows
 
 RANKS, JSON, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 key = lambda row: tuple((x is None, str(x)) for x in row)
@@ -291,6 +291,53 @@ def test_automaton():
     assert a.run(raw, start, end - start).tolist() == list(words.values())
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.text("abé", min_size=1, max_size=6), st.integers(0, 2), min_size=1, max_size=4), st.lists(st.text("abéx", min_size=1, max_size=8), min_size=1, max_size=12))
+def test_automaton_finds_all(terms, words):
+    a = toxicity.Automaton(terms)
+    raw = np.frombuffer(" ".join([*words, ""]).encode(), np.uint8)
+    end = np.flatnonzero(raw == 32)
+    start = np.concatenate([[0], end[:-1] + 1])
+    want = []
+    for w in words:
+        near = [brute.distance(t.encode(), w.encode()) for t in terms]
+        want.append(min((d for d, e in zip(near, terms.values()) if d <= e), default=-1))
+    assert a.run(raw, start, end - start).tolist() == want
+
+
+def test_toxic_words_in_capitals():
+    r = random.Random(1)
+    other = lambda n: " ".join("".join(r.choice("абвгде") for _ in range(6)) for _ in range(n))
+    rows = [(f"{other(5)} дурак {other(5)} ДУРАК", 1) for _ in range(40)] + [(other(12), 0) for _ in range(40)]
+    model = toxicity.fit(rows)
+    texts = ["Ты ДУРАК, дурак", "Ты Дурак " * 3, other(9), "", "\n", "ДУРАКА Дура́к дурак"]
+    assert [s >= 0.5 for s in toxicity.scores([t.encode() for t in texts], model)] == [True, True, False, False, False, True]
+    one, many = toxicity.scores([b"", texts[0].encode()], model), toxicity.scores([texts[0].encode()] * 3 + [(other(60_000) + texts[0]).encode()], model)
+    assert one[1] == many[0] == many[1] == many[2] > many[3]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(1, 6), min_size=1, max_size=5), st.integers(0, 99))
+def test_marginals(sizes, seed):
+    random_ = np.random.default_rng(seed)
+    bounds = np.cumsum([0, *sizes])
+    scores, change = random_.normal(size=(bounds[-1], 2)), random_.normal(size=(2, 2))
+    got, moves = quality_crf.marginals(scores, bounds, change)
+    want = [brute.marginals(scores[a:b], change) for a, b in zip(bounds[:-1], bounds[1:])]
+    assert np.allclose(got, np.concatenate([x for x, _ in want])) and np.allclose(moves, sum(x for _, x in want))
+
+
+def test_sample(spark):
+    docs = spark.createDataFrame([(i, "word " * (40_000 if i % 3 == 0 else 20), "x") for i in range(40)] + [(5, "word", "y"), (None, "n", "z")], "doc_id bigint, text string, place string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(7, 0), (7, 1), (8, 0), (9, None)], "doc_id bigint, quality int")
+    out = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 and i != 7]
+    rows = learning.sample(docs, labels, "quality")
+    assert len(rows) == len(out) and sum(len(t) > 20_000 for t, _ in rows) == sum(i % 3 == 0 for i in out)
+    few = learning.sample(docs, labels, "quality", cost=210_000)
+    assert 0 < len(few) < len(rows) and sum(len(t) for t, _ in few) < 420_000
+    assert sorted({y for _, y in learning.sample(docs, labels, "quality", most=3)}) == [0, 1] and len(learning.sample(docs, labels, "quality", most=3)) == 6
+
+
 def test_clashing_columns(spark):
     import corpus_pipeline as c
 
