@@ -172,10 +172,10 @@ def cleaned(docs: DataFrame, result: DataFrame, unit: str) -> DataFrame:
     return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(left("text", "_spans"))).drop("_id", "_xx", "_spans")
 
 
-def shared_runs(found: DataFrame, doc: Column | None = None) -> DataFrame:
-    """The runs as rows: rid, w, g, c, s, m, a (and doc)."""
-    columns = ["rid", "w", F.explode("runs").alias("r")] + ([doc.alias("doc")] if doc is not None else [])
-    rest = ["doc"] if doc is not None else []
+def shared_runs(found: DataFrame, doc: Column | None = None, *more: str) -> DataFrame:
+    """The runs as rows: rid, w, g, c, s, m, a (and doc and further columns)."""
+    columns = ["rid", "w", F.explode("runs").alias("r"), *more] + ([doc.alias("doc")] if doc is not None else [])
+    rest = [*more, "doc"] if doc is not None else [*more]
     return found.select(*columns).select("rid", "w", "r.*", *rest)
 
 

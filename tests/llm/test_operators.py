@@ -71,6 +71,47 @@ def test_substring(docs, empty):
     assert substring_dedup.clean(docs).count() == len(DOCS)
 
 
+def test_index_over_batches(spark, tmp_path):
+    """Batches that come one by one to a kept index, reopened each time, give what one batch gives."""
+    r = random.Random(11)
+    line = lambda n: " ".join(r.choice("abcde") + str(r.randrange(300)) for _ in range(n))
+    passages = [line(r.randrange(55, 130)) for _ in range(5)]
+    rows = [(i, line(r.randrange(40)) + " " + " ".join(r.choice(passages)[r.randrange(90) :] + " " + line(r.randrange(20)) for _ in range(r.randrange(4)))) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = substring_dedup.features(table, "word", 50, 12)
+    ranges, live = None, set()
+    for k in range(4):
+        index = substring_dedup.FingerprintIndex(spark, str(tmp_path / "index"), fan=2)
+        assert index.version == k and len(index.logs["anchors"]) <= 2
+        part = f"doc_id between {15 * k} and {15 * k + 14}"
+        some = index.add(found.filter(part), table.filter(f"doc_id < {15 * k + 15}"))
+        ranges = some if ranges is None else ranges.unionByName(some)
+        live.update(index.names["anchors"])
+    assert live == {"anchors-1-0", "anchors-2-1", "anchors-3-3", "anchors-4-1"}  # the third run was compacted with those before it
+    got = substring_dedup.remove(table, found, ranges, "word").select("doc_id", "n", "n_removed", "kept_sha256").collect()
+    assert same(got, brute.substring(rows)) and sum(x.n_removed for x in got) > 500
+
+
+def test_hits_are_verified(spark):
+    """Hits whose words differ, as a clash of hashes would give, are dropped."""
+    rows = [(i, " ".join(f"w{i if j == 60 else 0}.{j}" for j in range(120))) for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = substring_dedup.features(table, "word", 50, 12)
+    at = {x.doc_id: x for x in found.select("doc_id", "xx", "rid").collect()}
+    hits = spark.createDataFrame([(at[1].rid, s, 5, 0, at[0].xx, s) for s in (0, 30, 65)], "rid bigint, s int, m int, o_doc bigint, o_xx bigint, o_s int")
+    got = substring_dedup.FingerprintIndex(spark)._verified(table, found, hits).collect()
+    assert sorted(map(tuple, got)) == [(at[1].rid, 0, 54), (at[1].rid, 65, 119)]
+
+
+def test_many_repeated_rows(spark):
+    r = random.Random(12)
+    text = " ".join(str(r.randrange(500)) for _ in range(150))
+    rows = [(7, text)] * 3000 + [(3, text + " end"), (9, "x " + text)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert same(substring_dedup.substring_dedup(table).select("doc_id", "n", "n_removed", "kept_sha256").collect(), brute.substring(rows))
+    assert same(suffix_dedup.suffix_dedup(table).select("doc_id", "n", "n_removed", F.size("spans"), "kept_sha256").collect(), brute.suffix(rows))
+
+
 def test_near(docs, empty):
     got = minhash.near_dedup(docs).select("doc_id", "n_shingles", "component_id").collect()
     assert same(got, brute.near(DOCS))
