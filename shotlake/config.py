@@ -66,12 +66,18 @@ class Settings:
         if broken:
             raise ValueError("; ".join(broken))
 
+    @classmethod
+    def of(cls, values: dict) -> Settings:
+        """Settings from a mapping; an unknown name is a TypeError."""
+        return cls(**values)
+
     @property
     def fingerprint(self) -> str:
         return _digest(asdict(self))
 
     @property
     def encoder_fingerprint(self) -> str:
+        # The names under which the encoder's settings are hashed.
         renamed = {
             "model": "encoder_model", "revision": "encoder_revision", "code_revision": "encoder_code_revision", "dim": "embedding_dim", "dtype": "embedding_dtype",
             "image_size": "image_size", "resize": "image_resize", "interpolation": "image_interpolation", "normalized": "normalize_vectors",

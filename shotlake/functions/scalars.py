@@ -26,6 +26,35 @@ def inside_shot(frame: Column) -> Column:
     return frame.between(F.col("start_frame"), F.col("end_frame"))
 
 
+def clamped(frame: Column) -> Column:
+    """The frame of the shot nearest to ``frame``."""
+    return F.greatest(F.col("start_frame"), F.least(frame, F.col("end_frame")))
+
+
+def cluster_id(frame: Column, radius: int) -> Column:
+    """Cells of ``radius`` frames, counted from the start of the video."""
+    return F.floor(frame / radius).cast("bigint")
+
+
+def index_id(video_id: Column, n: Column) -> Column:
+    """The id of a row of the index: the video and the rank as text."""
+    return F.struct(video_id.alias("video_id"), n.cast("string").alias("n"))
+
+
+#: The fields of a candidate's record.
+METRICS = "struct<pixel_sha256:string,dhash:bigint,luma_mean:double,luma_std:double,black_ratio:double,sharpness:double,entropy:double,text_proxy:double,quality_score:double,hard_invalid:boolean>"
+RECORD = f"struct<video_id:string,frame_idx:bigint,shot_id:bigint,reasons:array<string>,locator_keep:boolean,hard_keep:boolean,cluster_id:bigint,metrics:{METRICS},selected:boolean,rejected_reason:string>"
+
+
+def to_record(candidate: Column) -> Column:
+    """A candidate (a struct as ``RECORD``) as one JSON object with all its fields, reasons sorted."""
+    return F.to_json(candidate.withField("reasons", F.array_sort(candidate["reasons"])), {"ignoreNullFields": "false"})
+
+
+def from_record(record: Column) -> Column:
+    return F.from_json(record, RECORD)
+
+
 def hamming(a: Column, b: Column) -> Column:
     """Differing bits of two 64-bit hashes."""
     return F.bit_count(a.bitwiseXOR(b))

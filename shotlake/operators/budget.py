@@ -70,6 +70,30 @@ def reconcile(planned: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def totals(reconciled: DataFrame) -> DataFrame:
+    """One row: what all known videos asked for and got, and whether nothing failed."""
+    known = F.col("requested_rows").isNotNull()
+    of = lambda c: F.coalesce(F.sum(F.when(known, F.col(c))), F.lit(0)).cast("bigint")
+    out = reconciled.agg(of("locator_rows").alias("locator_rows"), of("requested_rows").alias("requested_assigned_rows"), of("target_rows").alias("assigned_rows"), F.coalesce(F.sum(F.size("failures")), F.lit(0)).alias("failures"))
+    out = out.withColumns({"source_extra_rows": F.col("assigned_rows") - F.col("locator_rows"), "underfilled_rows": F.col("requested_assigned_rows") - F.col("assigned_rows")})
+    return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+
+
+def finalised(planned: DataFrame, results: DataFrame) -> DataFrame:
+    """The plan with realised rows in place of the asked ones; videos that failed or aren't in the plan are left out."""
+    rows = reconcile(planned, results).filter((F.size("failures") == 0) & F.col("requested_rows").isNotNull())
+    return rows.join(planned.select("video_id", "extra_capacity"), "video_id").select("video_id", "locator_rows", "extra_capacity", "requested_rows", "target_rows", "underfilled_rows")
+
+
+def longest_first(planned: DataFrame) -> DataFrame:
+    """Videos in the order in which their work begins: the most rows first, so that no long one is left at the end.
+
+    One number a video takes part.
+    """
+    order = Window.orderBy(F.desc("target_rows"), "video_id")
+    return planned.select("video_id", "target_rows", F.row_number().over(order).cast("bigint").alias("place"))
+
+
 def admission_order() -> list[Column]:
     return [F.desc("hard_keep"), F.desc(reason_priority(F.col("reasons"))), F.desc(F.coalesce("quality_score", F.lit(0.0))), F.asc("frame_idx")]
 

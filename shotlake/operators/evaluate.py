@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Settings
@@ -44,6 +44,30 @@ def candidate_failures(rows: DataFrame, shots: DataFrame, zones: DataFrame, plan
     return out
 
 
+def first_of(failures: DataFrame, number: int = 5) -> DataFrame:
+    """Of each failure the first ``number`` videos and how many there are."""
+    place = F.row_number().over(Window.partitionBy("failure").orderBy("video_id"))
+    rows = failures.select("failure", "video_id").distinct().withColumn("place", place)
+    return rows.groupBy("failure").agg(F.array_sort(F.collect_list(F.when(F.col("place") <= number, F.col("video_id")))).alias("videos"), F.count("*").alias("n"))
+
+
+def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that stand more than once, with their number."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def set_differences(have: DataFrame, want: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of only one side, with the side; none if both are the same set."""
+    missing = want.select(*keys).distinct().join(have, keys, "left_anti").withColumn("side", F.lit("missing"))
+    return missing.unionByName(have.select(*keys).distinct().join(want, keys, "left_anti").withColumn("side", F.lit("unexpected")))
+
+
+def throughput(checkpoints: DataFrame) -> DataFrame:
+    """Rows a second (rows, seconds) of each video, and over all of them under a null video_id."""
+    rate = F.coalesce(F.try_divide(F.sum("rows").cast("double"), F.sum("seconds")), F.lit(0.0))
+    return checkpoints.rollup("video_id").agg(F.sum("rows").alias("rows"), F.sum("seconds").alias("seconds"), rate.alias("rate"))
+
+
 def sampling_report(seed_rows: DataFrame, targets: DataFrame, settings: Settings) -> DataFrame:
     """One row: what a run would decode and store."""
     per_shot = seed_rows.groupBy("video_id", "shot_id").agg(F.count("*").alias("rows"), F.count_if("locator").alias("locators"))

@@ -49,7 +49,7 @@ def shot_coverage(shots: DataFrame, rows: DataFrame, lengths: tuple[int, ...] =
     located = located.withColumn("before", F.lag("frame_idx").over(Window.partitionBy("video_id", "shot_id").orderBy("frame_idx")))
     located = located.withColumn("length", F.explode(F.array(*[F.lit(x) for x in lengths]))).withColumn("possible", shot_length() - F.col("length") + 1).filter("possible > 0")
     first = F.greatest(s, f - F.col("length") + 1, F.coalesce(F.col("before") + 1, s))
-    new = F.greatest(F.lit(0), F.least(e - F.col("length") + 1, f) - first + 1)
+    new = F.when(f.isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(e - F.col("length") + 1, f) - first + 1))  # a shot without locators covers nothing
     return located.groupBy("video_id", "shot_id", "length").agg(F.first("possible").alias("possible"), F.coalesce(F.sum(new), F.lit(0)).alias("covered"))
 
 

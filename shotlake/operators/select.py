@@ -72,13 +72,18 @@ def views_of(video: pd.DataFrame, settings: Settings) -> pd.DataFrame:
             source[row.shot_id, row.frame_idx] = "rescue"
     free: dict[int, tuple[float, list[str]]] = {}
     shot_of: dict[int, int] = {}
+    taken_of: dict[int, list[int]] = {}
+    for s, f in source:
+        taken_of.setdefault(s, []).append(f)
     for shot, rows in video.groupby("shot_id"):
         eligible = {int(r.frame_idx): float(r.utility) for r in rows.itertuples() if r.eligible}
         if not eligible:
             continue
         best = min(eligible, key=lambda f: (-eligible[f], f))
-        source.setdefault((shot, best), "best")
-        taken = [f for s, f in source if s == shot]
+        taken = taken_of.get(shot, [])
+        if (shot, best) not in source:
+            source[shot, best] = "best"
+            taken.append(best)
         for f in repaired(int(rows.start_frame.iloc[0]), int(rows.end_frame.iloc[0]), taken, eligible, settings.discovery_max_gap):
             source[shot, f] = "gap"
         for r in rows.itertuples():

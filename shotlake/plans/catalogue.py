@@ -37,6 +37,8 @@ class Data:
         if made is None:
             raise AttributeError(name)
         value = made()
+        if name in ("enriched", "twins"):  # read several times
+            value = fx.written(value)
         setattr(self, name, value)
         return value
 
@@ -64,7 +66,7 @@ VIEWS = {
     "fx_shots": "select video_id, shot_id, min(frame_idx) as start_frame, max(frame_idx) as end_frame from fx_marked where not in_zone group by video_id, shot_id",
     "fx_metrics": """select video_id, shot_id, frame_idx, event_id, event_id % 8 as dhash, cast((event_id * 17) % 64 as double) as luma_std, cast(event_id % 101 as double) / 101 as text_proxy,
         value < 15 as hard_invalid, case when value < 15 then 0e0 else least(1e0, value / 500) end as quality_score from fx_marked where not in_zone and event_id % 97 <> 0""",
-    "fx_vectors": "select m.video_id, m.shot_id, m.frame_idx, list_transform(e.embedding, lambda x: x::double) as v from fx_metrics m join embeddings e on e.vec_id = m.event_id % 7",
+    "fx_vectors": "select m.video_id, m.shot_id, m.frame_idx, list_transform(e.embedding, lambda x: x::double) as v from fx_metrics m join embeddings e on e.vec_id = m.event_id % case when m.event_id % 3 = 0 then (select count(*) from embeddings) else 7 end",
     "fx_grids": "select vec_id, list_transform(embedding, lambda x: least(255e0, greatest(0e0, (x::double + 0.6e0) * 200e0))) as g from embeddings",
     "zones": """select video_id, coalesce(before, -1) + 1 as start_frame, start_frame - 1 as end_frame, 'unassigned_gap' as kind
         from (select *, lag(end_frame) over (partition by video_id order by start_frame) as before from fx_shots) where start_frame > coalesce(before, -1) + 1
@@ -270,10 +272,7 @@ _RESULTS = "select video_id, 0 as pos, target_rows - (n % 3) as candidate_rows,
  array_to_string(list_filter([case when p.video_id is null then 'unexpected' end, case when r.video_id is null then 'missing' end, case when decode_missing <> 0 then 'incomplete' end,
  case when coalesce(candidate_rows, 0) < locator_rows then 'below locators' end], lambda x: x is not null), ',') as failures from plan p full join ({_RESULTS}) r on r.video_id = p.video_id""")
 def q_budget_reconcile(d: Data) -> DataFrame:
-    n = F.substring("video_id", 2, 6).cast("int")
-    results = d.plan.filter(n % 7 != 0).select("video_id", F.lit(0).alias("pos"), (F.col("target_rows") - n % 3).alias("candidate_rows"), (n % 11 == 0).cast("int").alias("decode_missing"))
-    results = results.unionByName(d.spark.createDataFrame([("X000001", 0, 5, 0)], "video_id string, pos int, candidate_rows bigint, decode_missing int"))
-    return budget.reconcile(d.plan, results).withColumn("failures", _joined("failures"))
+    return budget.reconcile(d.plan, _results(d)).withColumn("failures", _joined("failures"))
 
 
 @query("select video_id, shot_id, frame_idx, locator, rejected from admitted")
@@ -287,10 +286,16 @@ def q_search_view(d: Data) -> DataFrame:
     return u.select("vec_id", F.round(F.get("u", F.lit(0)), 6).alias("first"), F.round(F.get("u", F.lit(31)), 6).alias("last"), F.round(fn.dot(F.col("u"), F.col("u")), 6).alias("size"))
 
 
-@query("select count(*) as vectors, 0::bigint as missing, 0::bigint as unexpected, round(min(n), 4) as norm_min, round(max(n), 4) as norm_max, '' as failures from (select sqrt(list_dot_product(v, v)) as n from fx_vectors)")
+@query("""select count(n) as vectors, count(*) filter (where n is null) as missing, count(*) filter (where wanted is null) as unexpected, count(*) filter (where dim <> 64) as wrong_dim, count(*) filter (where isnan(n) or isinf(n)) as not_finite,
+ count(*) filter (where abs(n - 1) > 2e-3) as not_unit, round(min(n) filter (where not isnan(n)), 4) as norm_min from (select video_id, frame_idx, true as wanted from admitted) a full join
+ (select video_id, frame_idx, case when frame_idx % 17 = 3 then 'nan'::double else (case when frame_idx % 11 = 3 then 2e0 else 1e0 end) * sqrt(list_dot_product(w, w)) end as n, len(w) as dim
+  from (select video_id, frame_idx, case when frame_idx % 13 = 5 then v[1:63] else v end as w from fx_vectors)) f using (video_id, frame_idx)""")
 def q_vector_integrity(d: Data) -> DataFrame:
-    r = vectors.integrity(d.vectors, d.vectors, SMALL)
-    return r.select("vectors", "missing", "unexpected", F.round("norm_min", 4).alias("norm_min"), F.round("norm_max", 4).alias("norm_max"), _joined("failures"))
+    """Vectors with faults: some too long, some short of a dimension, some not finite."""
+    factor = F.when(F.col("frame_idx") % 17 == 3, F.lit(float("nan"))).when(F.col("frame_idx") % 11 == 3, 2.0).otherwise(1.0)
+    cut = F.when(F.col("frame_idx") % 13 == 5, F.slice("embedding", 1, 63)).otherwise(F.col("embedding"))
+    r = vectors.integrity(d.admitted, d.vectors.withColumn("embedding", F.transform(cut, lambda x: x.cast("double") * factor)), SMALL)
+    return r.select("vectors", "missing", "unexpected", "wrong_dim", "not_finite", "not_unit", F.round("norm_min", 4).alias("norm_min"))
 
 
 @query("""select count(n) as vectors, count(*) filter (where n is null) as missing, count(*) filter (where wanted is null) as unexpected, round(min(n), 4) as norm_min, round(max(n), 4) as norm_max,
@@ -411,16 +416,6 @@ def q_status(d: Data) -> DataFrame:
     return publish.status(d.videos, _checkpoints(d))
 
 
-@query("""select video_id, failure, n from (
- select video_id, 'shot without eligible frame' as failure, count(*) as n from fx_shots s where not exists (select 1 from admitted a where a.video_id = s.video_id and a.shot_id = s.shot_id and a.rejected is null) group by video_id
- union all select video_id, 'shot without locator', count(*) from fx_shots s where not exists (select 1 from admitted a where a.video_id = s.video_id and a.shot_id = s.shot_id and a.locator and a.rejected is distinct from 'decode_missing') group by video_id
- union all select video_id, 'decode missing', count(*) from admitted where rejected = 'decode_missing' group by video_id
- union all select p.video_id, 'rows differ from the plan', 1 from plan p left join (select video_id, count(*) as c from admitted group by video_id) a using (video_id) where coalesce(c, 0) <> target_rows) where failure not in ('x')""")
-def q_candidate_gate(d: Data) -> DataFrame:
-    found = evaluate.candidate_failures(d.admitted, d.shots, d.zones, d.plan, SMALL)
-    return found.filter(~F.col("failure").isin("locator gap over stride", "answer window not covered"))
-
-
 _USABLE = "(select video_id, shot_id, frame_idx from admitted where locator and rejected is distinct from 'decode_missing')"
 
 
@@ -435,8 +430,8 @@ _USABLE = "(select video_id, shot_id, frame_idx from admitted where locator and
   where not exists (select 1 from {_USABLE} u where u.video_id = w.video_id and u.shot_id = w.shot_id and u.frame_idx between b and b + 3)
  union all select p.video_id, 'rows differ from the plan', 1 from plan p left join (select video_id, count(*) as c from admitted group by video_id) a using (video_id) where coalesce(c, 0) <> target_rows
  union all select video_id, 'decode missing', count(*) from admitted where rejected = 'decode_missing' group by video_id""")
-def q_candidate_checks(d: Data) -> DataFrame:
-    return evaluate.candidate_failures(d.admitted, d.shots, d.zones, d.plan, SMALL)
+def q_candidate_gate(d: Data) -> DataFrame:
+    return evaluate.candidate_failures(fx.written(d.admitted), d.shots, d.zones, d.plan, SMALL)
 
 
 @query("""select s.*, s.seed_rows + s.rescue_bound as row_bound, (s.seed_rows + s.rescue_bound) * 128e0 / 1073741824e0 as gib_bound from (select sum(n)::bigint as seed_rows, sum(l)::bigint as locator_rows, sum(ceil(l * 0.15e0))::bigint as rescue_bound,
@@ -444,3 +439,86 @@ def q_candidate_checks(d: Data) -> DataFrame:
  from (select count(*) as n, count(*) filter (where locator) as l from seeds group by video_id, shot_id)) s""")
 def q_sampling_report(d: Data) -> DataFrame:
     return evaluate.sampling_report(d.seeds, seeds.decode_targets(d.seeds, d.shots, SMALL.neighbor_radius), SMALL)
+
+
+@query("select s.video_id, shot_id, frame_idx, greatest(start_frame, least(frame_idx + 5, end_frame)) as later from seeds s join fx_shots using (video_id, shot_id)")
+def q_clamped(d: Data) -> DataFrame:
+    return d.seeds.join(d.shots, change.SHOT).select(*change.FRAME, fn.clamped(F.col("frame_idx") + 5).alias("later"))
+
+
+@query("select video_id, frame_idx, frame_idx // 8 as cluster_id from enriched")
+def q_cluster_ids(d: Data) -> DataFrame:
+    return d.enriched.select("video_id", "frame_idx", fn.cluster_id(F.col("frame_idx"), SMALL.cluster_radius).alias("cluster_id"))
+
+
+@query("select video_id, frame_idx, count(*) as n from (select video_id, frame_idx from seeds union all select video_id, frame_idx from rescues union all select video_id, frame_idx from fx_metrics where hard_invalid) group by all having count(*) > 1")
+def q_duplicate_keys(d: Data) -> DataFrame:
+    keys = ["video_id", "frame_idx"]
+    rows = d.seeds.select(*keys).unionByName(change.rescues(d.known, d.metrics, SMALL).select(*keys)).unionByName(d.metrics.filter("hard_invalid").select(*keys))
+    return evaluate.duplicate_keys(rows, keys)
+
+
+_RECONCILED = f"""(select p.video_id, locator_rows, extra_capacity, target_rows as requested_rows, coalesce(candidate_rows, 0)::bigint as actual,
+ (r.video_id is null)::int + (coalesce(decode_missing, 0) <> 0)::int + (coalesce(candidate_rows, 0) < locator_rows)::int as failures from plan p left join ({_RESULTS}) r on r.video_id = p.video_id)"""
+
+
+def _results(d: Data) -> DataFrame:
+    n = F.substring("video_id", 2, 6).cast("int")
+    results = d.plan.filter(n % 7 != 0).select("video_id", F.lit(0).alias("pos"), (F.col("target_rows") - n % 3).alias("candidate_rows"), (n % 11 == 0).cast("int").alias("decode_missing"))
+    return results.unionByName(d.spark.createDataFrame([("X000001", 0, 5, 0)], "video_id string, pos int, candidate_rows bigint, decode_missing int"))
+
+
+@query(f"""select sum(locator_rows)::bigint as locator_rows, sum(requested_rows)::bigint as requested_assigned_rows, sum(actual)::bigint as assigned_rows, (sum(failures) + 1)::bigint as failures, (sum(actual) - sum(locator_rows))::bigint as source_extra_rows,
+ (sum(requested_rows) - sum(actual))::bigint as underfilled_rows, 'fail' as status from {_RECONCILED}""")
+def q_budget_totals(d: Data) -> DataFrame:
+    return budget.totals(budget.reconcile(d.plan, _results(d)))
+
+
+@query(f"select video_id, locator_rows, extra_capacity, requested_rows::bigint as requested_rows, actual as target_rows, greatest(0, requested_rows - actual)::bigint as underfilled_rows from {_RECONCILED} where failures = 0")
+def q_final_plan(d: Data) -> DataFrame:
+    return budget.finalised(d.plan, _results(d))
+
+
+@query("select video_id, target_rows::bigint as target_rows, row_number() over (order by target_rows desc, video_id) as place from plan")
+def q_longest_first(d: Data) -> DataFrame:
+    return budget.longest_first(d.plan)
+
+
+@query(f"""select failure, array_to_string(list_sort(list(video_id) filter (where place <= 5)), ',') as videos, count(*) as n from (select *, row_number() over (partition by failure order by video_id) as place from
+ (select distinct video_id, kind as failure from zones union all select distinct video_id, 'shot of one frame' from fx_shots where start_frame = end_frame)) group by failure""")
+def q_first_failures(d: Data) -> DataFrame:
+    failures = d.zones.select("video_id", F.col("kind").alias("failure")).unionByName(d.shots.filter("start_frame = end_frame").select("video_id", F.lit("shot of one frame").alias("failure")))
+    return evaluate.first_of(failures).withColumn("videos", _joined("videos"))
+
+
+@query("""select video_id, sum(frame_count)::bigint as rows, sum(seconds) as seconds, round(sum(frame_count) / sum(seconds), 9) as rate from (select video_id, frame_count, (1 + cast(substr(video_id, 2) as int) % 4) * 0.25e0 as seconds from fx_videos) group by rollup (video_id)""")
+def q_throughput(d: Data) -> DataFrame:
+    seconds = (1 + F.substring("video_id", 2, 6).cast("int") % 4) * F.lit(0.25)
+    return evaluate.throughput(d.videos.select("video_id", F.col("frame_count").alias("rows"), seconds.alias("seconds"))).withColumn("rate", F.round("rate", 9))
+
+
+@query("""select video_id, frame_idx, 'missing' as side from (select video_id, frame_idx from fx_metrics except select video_id, frame_idx from admitted)
+ union all select video_id, frame_idx, 'unexpected' from (select video_id, frame_idx from admitted except select video_id, frame_idx from fx_metrics)""")
+def q_set_differences(d: Data) -> DataFrame:
+    return evaluate.set_differences(d.admitted, d.metrics, ["video_id", "frame_idx"])
+
+
+@query("select format('L{:02d}_V{:03d}', g, i) as video_id from range(21, 24) a(g), range(1, 1001) b(i)")
+def q_video_ids(d: Data) -> DataFrame:
+    ids = [boundaries.video_ids(d.spark, f"L{g}", 1, 1000) for g in (21, 22, 23)]
+    return ids[0].unionByName(ids[1]).unionByName(ids[2])
+
+
+@query(f"select video_id, cast(n as varchar) as n, frame_idx from ({_RANKED})")
+def q_index_ids(d: Data) -> DataFrame:
+    return _ranked(d).select(fn.index_id(F.col("video_id"), F.col("n")).alias("id"), "frame_idx").select("id.*", "frame_idx")
+
+
+@query("""select video_id, frame_idx, shot_id, array_to_string(reasons, ',') as reasons, locator as locator_keep, hard_keep, frame_idx // 8 as cluster_id, quality_score, rejected is null as selected, rejected as rejected_reason from enriched""")
+def q_candidate_records(d: Data) -> DataFrame:
+    """Candidates written as JSON objects and read again."""
+    lacking = [F.lit(None).cast(k).alias(c) for c, k in (("pixel_sha256", "string"), ("dhash", "bigint"), *[(c, "double") for c in ("luma_mean", "luma_std", "black_ratio", "sharpness", "entropy", "text_proxy")])]
+    metrics = F.when(F.col("quality_score").isNotNull(), F.struct(*lacking, "quality_score", F.lit(False).alias("hard_invalid")))
+    fields = ["video_id", "frame_idx", "shot_id", F.reverse("reasons").alias("reasons"), F.col("locator").alias("locator_keep"), "hard_keep", "cluster_id", metrics.alias("metrics"), F.col("rejected").isNull().alias("selected"), F.col("rejected").alias("rejected_reason")]
+    back = d.enriched.select(fn.from_record(fn.to_record(F.struct(*fields))).alias("c")).select("c.*")
+    return back.withColumns({"reasons": F.array_join("reasons", ","), "quality_score": F.col("metrics.quality_score")}).drop("metrics")

@@ -5,10 +5,23 @@ A session that begins with an error leaves that frame unassigned, which makes zo
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once: a checkpoint in the session's shared folder, or in a temporary one in local mode where none is set."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="shotlake-stages-"))
+    return df.checkpoint()
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
 
@@ -44,10 +57,11 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven vectors in turn, so that exact duplicates occur."""
-    rows = frames(spark, sf_dir).filter("not in_zone and event_id % 97 <> 0").withColumn("vec_id", F.col("event_id") % 7)
-    seven = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter("vec_id < 7").select("vec_id", "embedding")
-    return rows.join(F.broadcast(seven), "vec_id").select("video_id", "shot_id", "frame_idx", "embedding")
+    """All vectors in turn; two frames in three have one of the first seven, so that exact duplicates occur."""
+    all_of = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    rows = frames(spark, sf_dir).filter("not in_zone and event_id % 97 <> 0").crossJoin(F.broadcast(all_of.agg(F.count("*").alias("number"))))  # one row
+    rows = rows.withColumn("vec_id", F.col("event_id") % F.when(F.col("event_id") % 3 == 0, F.col("number")).otherwise(7))
+    return rows.join(all_of, "vec_id").select("video_id", "shot_id", "frame_idx", "embedding")
 
 
 def grids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,8 @@ def in_zone(frames: DataFrame, zone: DataFrame) -> DataFrame:
 
 def chosen(videos: DataFrame, groups: list[str], start: int = 0, end: int = 0, pattern: str = r"_V(\d+)$") -> DataFrame:
     """Videos of the groups (prefixes of video_id), and of the ordinals from start to end unless both are 0."""
+    if not groups or not all(groups):
+        raise ValueError("groups have to be named")
     any_of: Column = F.lit(False)
     for group in groups:
         any_of = any_of | F.startswith(F.col("video_id"), F.lit(group))

@@ -62,6 +62,49 @@ def write_npy(path: str | Path, values: np.ndarray) -> None:
     write_bytes(path, data.getvalue())
 
 
+def read_npy(path: str | Path, mapped: bool = True) -> np.ndarray:
+    """An array file, mapped into memory or read whole; pickled objects are refused."""
+    return np.load(path, mmap_mode="r" if mapped else None, allow_pickle=False)
+
+
+def npy_rows(spark, path: str):
+    """The rows of two-dimensional array files (path, row, embedding), a file in each task; pickled objects are refused."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                values = np.load(io.BytesIO(content.as_py()), allow_pickle=False)
+                for a in range(0, len(values), 1024):
+                    part = np.asarray(values[a : a + 1024], np.float32)
+                    lists = pa.FixedSizeListArray.from_arrays(pa.array(part.ravel()), part.shape[1]).cast(pa.list_(pa.float32()))
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(np.arange(a, a + len(part))), lists], ["path", "row", "embedding"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, row bigint, embedding array<float>")
+
+
+def write_report(path: str | Path, report: dict) -> None:
+    """A gate's report, all or nothing."""
+    write_json(path, report)
+
+
+def sync(source: str | Path, target: str | Path, pattern: str = "*.json") -> list[str]:
+    """Copy the files of a folder over those of another; gives their names."""
+    names = sorted(p.name for p in Path(source).glob(pattern))
+    for name in names:
+        write_bytes(Path(target) / name, (Path(source) / name).read_bytes())
+    return names
+
+
+def verify_pointer(folder: str | Path) -> dict:
+    """The published manifest; one that isn't what the pointer says is an error."""
+    pointer = json.loads((Path(folder) / "CURRENT.json").read_text())
+    target = Path(folder) / pointer["manifest"]
+    if sha256_file(target) != pointer["sha256"]:
+        raise RuntimeError(f"{target} is not the published manifest")
+    return json.loads(target.read_text())
+
+
 def export_index(index, folder: str | Path) -> None:
     """A flat index (row_id, video_id, n, frame_idx, embedding) as arrays for other tools, row by row from the driver's
     iterator; ids longer than 24 characters are refused, as the array type would cut them."""
