@@ -32,8 +32,8 @@ from .windows import merged, prefix_hash, slice_hash, word_codes, words_of
 WORDS = 50
 GRAM = 12
 #: Batches in which a table is gone through, and runs of the log that are not compacted yet.
-BATCHES = 4
-FAN = 2
+BATCHES = 2
+FAN = 1
 #: Stands for a null doc_id, behind all others.
 LAST = (1 << 63) - 1
 #: Spans of one older document that are verified at once.
