@@ -50,28 +50,53 @@ def _scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new place in the shared scratch folder, deleted when the process ends."""
+    path = f"{_scratch_root(spark)}/shotlake/{tag}-{uuid.uuid4().hex}"
+    if not _left_over:
+        atexit.register(clean_up)
+    _left_over.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Cuts lineage and survives lost executors: later stages read files, not blocks.
     """
     spark = df.sparkSession
-    path = f"{_scratch_root(spark)}/shotlake/{tag}-{uuid.uuid4().hex}"
-    if not _left_over:
-        atexit.register(clean_up)
-    _left_over.append((spark, path))
+    path = scratch(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written() -> int:
+    """The number of scratch places there are, for ``discard``."""
+    return len(_left_over)
+
+
+def discard(begin: int, *kept: str) -> None:
+    """Delete the scratch tables written after the first ``begin``, but for those with the tags ``kept``.
+
+    For tables that nothing reads any more, as what is made from them has been written.
+    """
+    some = [(spark, path, path.rpartition("/")[2].rpartition("-")[0] in kept) for spark, path in _left_over[begin:]]
+    _left_over[begin:] = [(spark, path) for spark, path, stays in some if stays]
+    for spark, path, stays in some:
+        if not stays:
+            delete(spark, path)
+
+
 def clean_up() -> None:
     """Delete the scratch tables written so far by this process."""
     while _left_over:
-        spark, path = _left_over.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            delete(*_left_over.pop())
         except Exception:  # the session may be gone; the shared folder is temporary anyway
             return
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, lookup, materialize, shielded, utf8
+from .common import arrow_map, delete, discard, lookup, materialize, scratch, shielded, utf8, written
 from .removal import cleaned, features, fetch, remove, shared_runs
 from .windows import merged, prefix_hash, slice_hash, word_codes, words_of
 
@@ -57,15 +57,17 @@ class FingerprintIndex:
     """Two logs of sorted immutable runs, of anchors and of windows.
 
     Below ``root``, a folder that all executors share, runs and the list of the live
-    ones stay and are opened again; without one they are scratch tables.
+    ones stay and are opened again; without one they are scratch tables, and a run goes
+    when it has been compacted.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, fan: int = FAN, words: int = WORDS) -> None:
-        self.spark, self.root, self.fan, self.words = spark, root.rstrip("/") if root else None, fan, words
+        self.spark, self.lasting, self.fan, self.words = spark, root is not None, fan, words
+        self.root = root.rstrip("/") if root is not None else scratch(spark, "index")
         self.logs: dict[str, list[DataFrame]] = {"anchors": [], "windows": []}
         self.names: dict[str, list[str]] = {"anchors": [], "windows": []}
         self.version = 0
-        if self.root and self._exists(f"{self.root}/live"):
+        if self.lasting and self._exists(f"{self.root}/live"):
             live = spark.read.schema("version int, anchors array<string>, windows array<string>").json(f"{self.root}/live/*")
             now = live.orderBy(F.desc("version")).first()
             self.version = now.version
@@ -78,11 +80,8 @@ class FingerprintIndex:
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
     def _store(self, name: str, rows: DataFrame) -> tuple[str, DataFrame]:
-        rows = rows.sortWithinPartitions(*rows.columns[:2])
-        if not self.root:
-            return "", materialize(rows, f"index-{name}")
         run = f"{name}-{self.version + 1}-{len(self.logs[name])}"
-        rows.write.mode("overwrite").parquet(f"{self.root}/{run}")
+        rows.sortWithinPartitions(*rows.columns[:2]).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{run}")
         return run, self.spark.read.schema(rows.schema).parquet(f"{self.root}/{run}")
 
     def _append(self, name: str, rows: DataFrame) -> None:
@@ -92,6 +91,8 @@ class FingerprintIndex:
         self.names[name].append(run)
         if len(self.logs[name]) > self.fan:
             run, stored = self._store(name, _firsts(self._all(name), rows.columns[:2], ["m"] if name == "anchors" else []))
+            for old in [] if self.lasting else self.names[name]:
+                delete(self.spark, f"{self.root}/{old}")
             self.logs[name], self.names[name] = [stored], [run]
 
     def _all(self, name: str) -> DataFrame:
@@ -112,6 +113,7 @@ class FingerprintIndex:
 
         ``found`` has the batch's features; ``docs`` the documents of this and all earlier batches.
         """
+        begin = written()
         anchors = shared_runs(found, F.coalesce("doc_id", F.lit(LAST)), "xx")
         new = materialize(_firsts(anchors.withColumn("n", F.lit(1).cast("bigint")), ["g", "c"], ["m"]), "batch-anchors")
         old = self._met("anchors", new, ["g"])
@@ -146,8 +148,9 @@ class FingerprintIndex:
         ranges = materialize(self._verified(docs, found, hits), "batch-ranges")
         self._append("anchors", new.select("g", "c", "doc", "xx", "s", "m", "n"))
         self._append("windows", firsts.select("w", "v", "doc", "xx", "s", "n"))
-        if self.root:
-            self.version += 1
+        discard(begin, "batch-ranges")
+        self.version += 1
+        if self.lasting:
             rows = [(self.version, self.names["anchors"], self.names["windows"])]
             live = self.spark.createDataFrame(rows, "version int, anchors array<string>, windows array<string>")
             live.coalesce(1).write.mode("overwrite").json(f"{self.root}/live/{self.version}")
