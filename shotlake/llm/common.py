@@ -167,11 +167,13 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how:
 
     ``weight`` is a column of ``dim`` saying how many fact rows have the key.  The
     few keys above ``HOT_SHARE`` of all rows are broadcast (at most ``1/HOT_SHARE``
-    of them); every other key is joined by shuffle.  Keys are never null.
-    ``dim`` has to be materialised: it is read three times.
+    of them); every other key is joined by shuffle, and all are where none is hot.
+    Keys are never null.  ``dim`` has to be materialised: it is read three times.
     """
-    total = dim.agg(F.sum(weight)).first()[0] or 0
+    total, most = (x or 0 for x in dim.agg(F.sum(weight), F.max(weight)).first())
     least = max(HOT_LEAST, int(total * HOT_SHARE))
+    if most <= least:
+        return facts.join(dim, keys, how)
     hot, cold = dim.filter(F.col(weight) > least), dim.filter(F.col(weight) <= least)
     marks = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
     marked = facts.join(marks, keys, "left")
