@@ -277,7 +277,7 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     involved = materialize(dealt(rest).mapInArrow(_across(percent, False), places), "involved")
     of = _sets(docs, reps, involved.select("rid"), size)
     full = involved.join(reps.select("rid", "n", "sig", "bands"), "rid").join(of, "rid").select(*_PLACES, "n", "sig", "bands", "set")
-    links = links.unionByName(dealt(full).mapInArrow(_across(percent, True), "a bigint, b bigint"))
+    links = joined.toDF("a", "b").unionByName(dealt(full).mapInArrow(_across(percent, True), "a bigint, b bigint"))
 
     joined = materialize(components(links), "components")
     least = joined.join(reps.select(F.col("rid").alias("node"), "doc"), "node").groupBy("component").agg(F.min(F.struct("doc", F.col("node").alias("rid"))).alias("m"))

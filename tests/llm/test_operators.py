@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shotlake.llm import bpe, bwt, common, exact_dedup, golomb, learning, minhash, packing, pii, quality_crf, quality_rules, substring_dedup, suffix_dedup, toxicity, windows
+from shotlake.llm.components import components
 
 RANKS, JSON, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 key = lambda row: tuple((x is None, str(x)) for x in row)
@@ -112,6 +113,31 @@ def test_many_repeated_rows(spark):
     assert same(suffix_dedup.suffix_dedup(table).select("doc_id", "n", "n_removed", F.size("spans"), "kept_sha256").collect(), brute.suffix(rows))
 
 
+def test_components(spark):
+    random = np.random.default_rng(3)
+    path = [(i, i + 1) for i in range(40)]
+    star = [(100, 101 + i) for i in range(30)]
+    mixed = [(int(a), int(b)) for a, b in random.integers(200, 300, (70, 2))]
+    for links in ([], [(5, 5)], star, star + [(131, 130)], path, path[::2] + [(b, a) for a, b in path[1::2]] + star + mixed * 2):
+        near = {}
+        for a, b in links:
+            if a != b:
+                near.setdefault(a, set()).add(b)
+                near.setdefault(b, set()).add(a)
+        least, expected = {}, set()
+        for node in sorted(near):
+            todo = [] if node in least else [node]
+            while todo:
+                x = todo.pop()
+                if x not in least:
+                    least[x] = node
+                    todo += near[x]
+            if least[node] != node:
+                expected.add((node, least[node]))
+        rows = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+        assert len(rows) == len(expected) and {(r.node, r.component) for r in rows} == expected
+
+
 def test_near(docs, empty):
     got = minhash.near_dedup(docs).select("doc_id", "n_shingles", "component_id").collect()
     assert same(got, brute.near(DOCS))
