@@ -54,6 +54,21 @@ def test_suffix(docs, empty):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+def test_suffix_goes_by_bytes_not_words(spark, tmp_path):
+    """Passages of over 50 words that two documents share stay up to 399 bytes and go from 400 on, in both; n_bytes is the whole text's length."""
+    from shotlake.llm import queries
+
+    r = random.Random(13)
+    passage = lambda n: (" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(80)))[:n]
+    shared = [passage(n) for n in (330, 399, 400, 401)]
+    rows = [(2 * k + i, "AB"[i] * 9 + p + "CD"[i] * 9) for k, p in enumerate(shared) for i in (0, 1)]
+    assert all(len(p.split()) > 50 for p in shared)
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op1(spark, str(tmp_path)).collect()
+    assert same(got, brute.suffix(rows))
+    assert [(x.n_bytes, x.n_removed) for x in sorted(got)] == [(n + 18, n if n >= 400 else 0) for n in (330, 399, 400, 401) for _ in (0, 1)]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text("ab", max_size=40).map(str.encode), min_size=1, max_size=5), st.integers(1, 9))
 def test_interval_expansion(strings, length):
